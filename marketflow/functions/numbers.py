@@ -1,8 +1,8 @@
 """Exact numbers.
 
 Prices and quantities are staged as DECIMAL(18,8): a product of two of them is
-an exact DECIMAL(37,16), while DECIMAL(38,8) operands would lose digits. Ratios
-divide exact sums once, as DOUBLE, and are published with eight decimals.
+an exact DECIMAL(37,16), while DECIMAL(38,8) operands would lose digits. Results
+are published with eight decimals, rounded half away from zero.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ STAGED = "decimal(18,8)"
 PUBLISHED = "decimal(38,8)"
 # Room to add and subtract published numbers without losing the eighth decimal.
 EXACT = "decimal(28,8)"
+# A sum of products that still divides with sixteen decimals.
+PRODUCT = "decimal(30,16)"
 
 
 def published(value: Column) -> Column:
@@ -28,3 +30,17 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def difference(a: Column, b: Column) -> Column:
     """``a - b`` of published decimals, exact."""
     return a.cast(EXACT) - b.cast(EXACT)
+
+
+def quotient(
+    numerator: Column, denominator: Column, kind: str = STAGED, by: str = STAGED, scale: int = 1
+) -> Column:
+    """Published ``scale * numerator / denominator``; NULL for a zero or missing denominator.
+
+    Divided as decimals of the given kinds, so that a result half-way between two
+    eighth decimals is rounded as on paper. Numbers too large for these kinds are
+    divided as DOUBLE.
+    """
+    exact = numerator.try_cast(kind) / F.nullif(denominator.try_cast(by), F.lit(0).cast(by))
+    scaled = exact * F.lit(scale).cast("decimal(5,0)") if scale != 1 else exact
+    return F.coalesce(published(scaled), published(ratio(numerator, denominator) * scale))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import published, ratio
+from marketflow.functions.numbers import EXACT, PRODUCT, published, quotient
 from marketflow.functions.timecols import bucket
 
 
@@ -26,7 +26,7 @@ def bar_aggregates():
         published(F.sum(quantity)).alias("volume"),
         published(value).alias("quote_volume"),
         F.count(F.lit(1)).alias("trade_count"),
-        published(ratio(value, F.sum(quantity))).alias("vwap"),
+        quotient(value, F.sum(quantity), PRODUCT, EXACT).alias("vwap"),
     ]
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import EXACT, PUBLISHED, STAGED, published, ratio
+from marketflow.functions.numbers import EXACT, PRODUCT, PUBLISHED, STAGED, published, quotient
 from marketflow.operators.trades import live_window
 
 
@@ -32,19 +32,25 @@ def mid() -> Column:
 
 
 def spread_bps() -> Column:
-    return ratio(F.col("best_ask") - F.col("best_bid"), mid()) * 10000
+    spread, twice_mid = F.col("best_ask") - F.col("best_bid"), F.col("best_bid") + F.col("best_ask")
+    return quotient(spread, twice_mid, scale=20_000)
 
 
 def imbalance() -> Column:
-    return ratio(F.col("bid_vol"), _total())
+    return quotient(F.col("bid_vol"), _total())
 
 
 def microprice() -> Column:
     """Mid weighted towards the side with less volume."""
-    weighted = F.col("best_bid").cast("double") * F.col("ask_vol").cast("double") + F.col(
-        "best_ask"
-    ).cast("double") * F.col("bid_vol").cast("double")
-    return weighted / F.nullif(_total().cast("double"), F.lit(0.0))
+
+    def weighted(kind: str) -> Column:
+        return F.col("best_bid").cast(kind) * F.col("ask_vol").try_cast(kind) + F.col(
+            "best_ask"
+        ).cast(kind) * F.col("bid_vol").try_cast(kind)
+
+    return F.coalesce(
+        quotient(weighted(STAGED), _total(), PRODUCT, EXACT), quotient(weighted("double"), _total())
+    )
 
 
 def snapshot_metrics(agg: DataFrame) -> DataFrame:
@@ -56,8 +62,8 @@ def snapshot_metrics(agg: DataFrame) -> DataFrame:
         published(F.col("best_bid")).alias("best_bid"),
         published(F.col("best_ask")).alias("best_ask"),
         published(mid()).alias("mid"),
-        published(spread_bps()).alias("spread_bps"),
-        published(imbalance()).alias("imbalance"),
+        spread_bps().alias("spread_bps"),
+        imbalance().alias("imbalance"),
     )
 
 
@@ -116,11 +122,11 @@ def orderbook_live(levels: DataFrame, as_of: datetime | Column, minutes: int = 1
         published(F.col("best_bid")).alias("best_bid"),
         published(F.col("best_ask")).alias("best_ask"),
         published(mid()).alias("mid"),
-        published(spread_bps()).alias("spread_bps"),
+        spread_bps().alias("spread_bps"),
         published(F.col("bid_vol")).alias("bid_vol"),
         published(F.col("ask_vol")).alias("ask_vol"),
-        published(imbalance()).alias("imbalance"),
-        published(microprice()).alias("microprice"),
+        imbalance().alias("imbalance"),
+        microprice().alias("microprice"),
     )
 
 

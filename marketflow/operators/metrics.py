@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import difference, published, ratio
+from marketflow.functions.numbers import difference, published, quotient, ratio
 from marketflow.operators.rsi import gains_losses, rsi_value, wilder
 from marketflow.operators.series import BLOCK_ROWS, block_window, in_blocks, numbered, own_rows
 from marketflow.operators.trades import first_received
@@ -24,7 +24,7 @@ def log_return() -> Column:
 
 def change_pct(rows: int) -> Column:
     earlier = F.lag("close", rows).over(block_window())
-    return ratio(difference(F.col("close"), earlier), earlier) * 100
+    return quotient(difference(F.col("close"), earlier), earlier, scale=100)
 
 
 def volume_statistics() -> list[Column]:
@@ -115,7 +115,7 @@ def market_metrics(bars: DataFrame, bounded: bool = False, block_rows: int = BLO
         "minute",
         "close",
         "volume",
-        *[published(F.col(f"_change_{k}")).alias(f"price_change_pct_{k}min") for k in CHANGE_ROWS],
+        *[F.col(f"_change_{k}").alias(f"price_change_pct_{k}min") for k in CHANGE_ROWS],
         published(zscore()).alias("volume_zscore"),
         is_volume_anomaly().alias("is_volume_anomaly"),
         published(F.col("_volatility")).alias("realized_volatility"),

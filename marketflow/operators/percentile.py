@@ -24,12 +24,12 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, share: float, na
     ranges = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in_range"))
     whole = Window.partitionBy(*keys)
     upward = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    rank = (F.col("_all") - 1) * F.lit(share)
+    rank = (F.col("_size") - 1) * F.lit(share)
     placed = (
         ranges.select(
             "*",
             F.coalesce(F.sum("_in_range").over(upward), F.lit(0)).alias("_below"),
-            F.sum("_in_range").over(whole).alias("_all"),
+            F.sum("_in_range").over(whole).alias("_size"),
         )
         .withColumn("_lower", F.floor(rank))
         .withColumn("_upper", F.ceil(rank))

@@ -129,13 +129,13 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def append_batch(df: DataFrame, path: str, batch_id: int, unit: str = "day") -> None:
     """Append a streaming batch; writing the same batch again replaces it.
 
-    Rows lie by receipt date, so retention removes whole folders.
+    Rows lie by receipt date (or its month or year), so retention removes whole folders.
     """
     (
-        df.withColumn("ingest_date", F.to_date("ingest_time"))
+        df.withColumn("ingest_date", F.to_date(F.date_trunc(unit, "ingest_time")))
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

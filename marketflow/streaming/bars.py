@@ -12,24 +12,26 @@ from marketflow.operators.trades import enrich_trades, flatten_trades, stg_trade
 from marketflow.sources.tables import read_table, upsert_table
 
 
+def _unique(raw: DataFrame, delay: str) -> DataFrame:
+    # a watermark wants a zoned timestamp; the session zone is UTC
+    timed = flatten_trades(raw).withColumn("_event", F.col("traded_at").cast("timestamp"))
+    return timed.withWatermark("_event", delay).dropDuplicatesWithinWatermark(["symbol", "trade_id"])
+
+
 def unique_trades(raw: DataFrame, delay: str = "15 minutes") -> DataFrame:
     """First copy of each trade. State is dropped once the watermark has passed a trade by ``delay``."""
-    return (
-        flatten_trades(raw)
-        .withWatermark("traded_at", delay)
-        .dropDuplicatesWithinWatermark(["symbol", "trade_id"])
-    )
+    return _unique(raw, delay).drop("_event")
 
 
 def stream_ohlcv(raw: DataFrame, delay: str = "15 minutes", width: str = "1 minute") -> DataFrame:
     """Bars of a stream: the open bar is updated until the watermark closes it."""
-    return (
-        unique_trades(raw, delay)
-        .groupBy("symbol", F.window("traded_at", width).alias("_bucket"))
+    bars = (
+        _unique(raw, delay)
+        .groupBy("symbol", F.window("_event", width).alias("_bucket"))
         .agg(*bar_aggregates())
-        .select("symbol", F.col("_bucket.start").alias("minute"), "*")
-        .drop("_bucket")
     )
+    start = F.col("_bucket.start").cast("timestamp_ntz").alias("minute")
+    return bars.select("symbol", start, *[c for c in bars.columns if c not in ("symbol", "_bucket")])
 
 
 def upsert_bars(bars: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

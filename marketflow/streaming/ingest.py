@@ -39,16 +39,24 @@ def stream_kafka(spark: SparkSession, servers: str, topics: str, max_offsets: in
 
 
 def write_raw(
-    messages: DataFrame, trades_path: str, depth_path: str, checkpoint: str, **trigger
+    messages: DataFrame,
+    trades_path: str,
+    depth_path: str,
+    checkpoint: str,
+    unit: str = "day",
+    **trigger,
 ) -> StreamingQuery:
-    """One input, two append-only tables. A repeated batch replaces its own rows."""
+    """One input, two append-only tables. A repeated batch replaces its own rows.
+
+    ``unit`` is the span of one folder: days for a live feed, longer for a backfill of years.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         routed = route(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for target, path in (("trades", trades_path), ("depth", depth_path)):
                 rows = routed.filter(F.col("route") == target).select("record", "ingest_time")
-                append_batch(rows, path, batch_id)
+                append_batch(rows, path, batch_id, unit)
         finally:
             routed.unpersist()
 

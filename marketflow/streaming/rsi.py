@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketflow.functions.numbers import published
 
 OUTPUT = "symbol string, minute timestamp_ntz, rn bigint, avg_gain double, avg_loss double, rsi_14 double"
 STATE = "rn bigint, close double, gain double, loss double"
@@ -50,10 +53,11 @@ def stream_rsi(bars: DataFrame, n: int = 14) -> DataFrame:
         def close(self) -> None:
             pass
 
-    return (
+    indexed = (
         bars.select("symbol", "minute", "close")
         .groupBy("symbol")
         .transformWithStateInPandas(
             statefulProcessor=Wilder(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
         )
     )
+    return indexed.withColumn("rsi_14", published(F.col("rsi_14")))

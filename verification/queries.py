@@ -516,7 +516,7 @@ def depth_within_bps(spark, sf):
 
 @query
 def kpi_strip(spark, sf):
-    """Trade symbols and book symbols are different here; the strip pairs them by their initial."""
+    """Trades and books have different symbols here; the strip pairs them one to one, in order."""
     lv = levels(spark, sf)
     pairs = F.create_map(
         *[
@@ -704,7 +704,7 @@ def late_trades_policy(spark, sf):
 
 @query
 def dq_not_null(spark, sf):
-    """Required columns of depth joined to trades' shape: what a lossy feed would leave."""
+    """Missing values of a feed that lost some prices and event times."""
     stg = clean(spark, sf)
     lossy = stg.withColumn("price", F.when(F.col("price") >= 5, F.col("price"))).withColumn(
         "event_time", F.when(~F.col("is_buyer_market_maker"), F.col("event_time"))
@@ -1023,6 +1023,7 @@ def stream_dual_sink(spark, sf):
             f"{out}/trades",
             f"{out}/depth",
             f"{out}/checkpoint",
+            unit="year",
             availableNow=True,
         ).awaitTermination()
     return slo.raw_extent(
