@@ -108,14 +108,14 @@ def wilder(gl: DataFrame, n: int = 14, bounded: bool = False, block_rows: int =
         )
         # keep^(block_rows * d) is exactly zero in DOUBLE beyond this distance
         reach = math.ceil(-1080 * math.log(2) / (block_rows * math.log(keep)))
-        ordered = Window.partitionBy("symbol").orderBy("_block")
+        earlier = Window.partitionBy("symbol").orderBy("_block").rowsBetween(-reach, 0)
 
         def carried(name: str) -> Column:
-            total = F.col(f"_end_{name}")
-            for d in range(1, reach + 1):
-                earlier = F.lag(f"_end_{name}", d).over(ordered)
-                total = total + F.coalesce(earlier * math.pow(keep, block_rows * d), F.lit(0.0))
-            return total.alias(f"_carry_{name}")
+            recent_ends = F.collect_list(f"_end_{name}").over(earlier)
+            decay = math.pow(keep, block_rows)
+            return F.aggregate(recent_ends, F.lit(0.0), lambda acc, end: acc * decay + end).alias(
+                f"_carry_{name}"
+            )
 
         carry = ends.select("symbol", "_block", carried("gain"), carried("loss"))
         rows = rows.join(carry, ["symbol", "_block"], "left")

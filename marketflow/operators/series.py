@@ -74,7 +74,7 @@ def in_blocks(
         return series.withColumn("_block", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
     if halo > block_rows:
         raise ValueError("the halo must fit into one block")
-    block = F.floor((F.col("rn") - 1) / block_rows)
+    block = F.expr(f"(rn - 1) div {block_rows}")
     position = (F.col("rn") - 1) % block_rows
     blocks = F.when(position >= block_rows - halo, F.array(block, block + 1)).otherwise(F.array(block))
     return series.select("*", F.explode(blocks).alias("_block")).withColumn(

@@ -15,7 +15,7 @@ from marketflow.operators.book import orderbook_snapshots
 from marketflow.operators.depth import enrich_levels, unique_depth_levels
 from marketflow.operators.merge import incremental_slice, upsert, upsert_first
 from marketflow.operators.trades import enrich_trades, stg_trades
-from marketflow.sources.tables import exists, read_table, upsert_table
+from marketflow.sources.tables import exists, insert_first, read_table, upsert_table
 
 LEVEL_KEYS = ["symbol", "last_update_id", "side", "level"]
 ID_RANGE = 10_000_000
@@ -64,7 +64,7 @@ def refresh_trades_table(raw_trades: DataFrame, path: str, minutes: int = 5) ->
     if exists(spark, path):
         rows = incremental_slice(rows, read_table(spark, path), "ingest_time", "ingest_time", minutes)
     dated = rows.withColumn("trade_date", F.to_date("traded_at"))
-    upsert_table(dated, path, ["trade_uid"], "trade_date", first_by=["ingest_time"])
+    insert_first(dated, path, ["trade_uid"], "trade_date")
 
 
 def refresh_depth_table(raw_depth: DataFrame, path: str, minutes: int = 5) -> None:
@@ -78,7 +78,7 @@ def refresh_depth_table(raw_depth: DataFrame, path: str, minutes: int = 5) -> No
     if exists(spark, path):
         rows = incremental_slice(rows, read_table(spark, path), "ingest_time", "ingest_time", minutes)
     ranged = rows.withColumn("id_range", F.floor(F.col("last_update_id") / ID_RANGE))
-    upsert_table(ranged, path, LEVEL_KEYS, "id_range", first_by=["ingest_time"])
+    insert_first(ranged, path, LEVEL_KEYS, "id_range")
 
 
 def refresh_bars_table(trades: DataFrame, path: str, minutes: int = 5) -> None:

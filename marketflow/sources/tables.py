@@ -8,6 +8,7 @@ so a lost driver or executor loses no rows.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from py4j.java_gateway import JavaObject
@@ -15,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.operators.merge import upsert, upsert_first
+from marketflow.operators.merge import upsert
 
 
 def _path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
@@ -33,6 +34,19 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
+@contextmanager
+def _kept(df: DataFrame):
+    """Keep ``df`` on the executors while several jobs read it."""
+    ours = not df.is_cached
+    if ours:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        if ours:
+            df.unpersist()
+
+
 def _pending(path: str) -> str:
     return path.rstrip("/") + "__pending"
 
@@ -93,36 +107,56 @@ def rebuild(df: DataFrame, path: str, time_col: str | None = None, allow_shrink:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def upsert_table(
-    updates: DataFrame, path: str, keys: list[str], partition: str, first_by: list[str] | None = None
-) -> None:
-    """Merge ``updates`` into the table.
+def _affected(updates: DataFrame, path: str, partition: str) -> DataFrame:
+    """The stored rows in partitions that have updates; the others are pruned when the job runs."""
+    target = read_table(updates.sparkSession, path, updates.schema)
+    return target.join(updates.select(partition).distinct(), partition, "left_semi")
+
+
+def upsert_table(updates: DataFrame, path: str, keys: list[str], partition: str) -> None:
+    """Merge ``updates`` into the table: new versions replace stored ones.
 
     ``partition`` names a column of ``updates`` that is a function of the keys
     (a date of the key's time, a range of its id), so all versions of a row lie
-    in one partition. ``first_by`` keeps the first of two versions by these
-    columns instead of the new one. ``updates`` must hold each key once.
+    in one partition. ``updates`` must hold each key once.
     """
     spark = updates.sparkSession
     recover(spark, path)
     if not exists(spark, path):
         _write(updates, path, partition)
         return
-    cached = updates.is_cached
-    if not cached:
-        updates = updates.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        target = read_table(spark, path, updates.schema)
-        # partitions without updates are pruned when the job runs
-        affected = target.join(updates.select(partition).distinct(), partition, "left_semi")
-        if first_by:
-            merged = upsert_first(affected, updates, keys, first_by)
-        else:
-            merged = upsert(affected, updates, keys)
+    with _kept(updates):
+        merged = upsert(_affected(updates, path, partition), updates, keys)
         _publish(merged.select(*updates.columns), path, partition)
-    finally:
-        if not cached:
-            updates.unpersist()
+
+
+def insert_first(
+    updates: DataFrame, path: str, keys: list[str], partition: str, order: str = "ingest_time"
+) -> None:
+    """Merge rows of which the first version by ``order`` counts.
+
+    Usually the stored version is the first: then only rows with new keys are
+    appended and nothing is rewritten. A partition is rewritten only when an
+    earlier version of a stored row turns up. ``updates`` must hold each key
+    once; ``partition`` is a function of the keys.
+    """
+    spark = updates.sparkSession
+    recover(spark, path)
+    if not exists(spark, path):
+        _write(updates, path, partition)
+        return
+    with _kept(updates):
+        stored = _affected(updates, path, partition).select(*keys, F.col(order).alias("_stored"))
+        earlier = updates.join(stored, keys).filter(F.col(order) < F.col("_stored")).drop("_stored")
+        earlier = earlier.select(*updates.columns)
+        if not earlier.isEmpty():
+            with _kept(earlier):
+                merged = upsert(_affected(earlier, path, partition), earlier, keys)
+                _publish(merged.select(*updates.columns), path, partition)
+        known = _affected(updates, path, partition).select(*keys)
+        fresh = updates.join(known, keys, "left_anti").select(*updates.columns)
+        # a repeated job finds what it has already appended among the known keys
+        fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -182,10 +216,8 @@ def replace_range_table(
         return
     edge = read_table(spark, path, updates.schema).filter(F.col(partition) == F.lit(start.date()))
     kept = edge.filter(F.col(time_col) < F.lit(start).cast("timestamp_ntz"))
-    merged = kept.unionByName(updates).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _kept(kept.unionByName(updates)) as merged:
+        # one value per day of the replaced span
         fresh = {row[0] for row in merged.select(partition).distinct().toLocalIterator()}
         _publish(merged, path, partition)
-    finally:
-        merged.unpersist()
     _drop_dates(spark, path, partition, lambda d: d >= start.date() and d not in fresh)

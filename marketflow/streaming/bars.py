@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketflow.operators.bars import bar_aggregates, ohlcv
 from marketflow.operators.trades import enrich_trades, flatten_trades, stg_trades
-from marketflow.sources.tables import read_table, upsert_table
+from marketflow.sources.tables import insert_first, read_table, upsert_table
 
 
 def _unique(raw: DataFrame, delay: str) -> DataFrame:
@@ -66,7 +66,7 @@ def maintain_facts(
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         try:
-            upsert_table(trades, trades_path, ["trade_uid"], "trade_date", first_by=["ingest_time"])
+            insert_first(trades, trades_path, ["trade_uid"], "trade_date")
             minute = F.date_trunc("minute", "traded_at")
             touched = trades.select("symbol", "trade_date", minute.alias("_minute")).distinct()
             stored = read_table(spark, trades_path, trades.schema).withColumn("_minute", minute)

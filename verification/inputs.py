@@ -19,9 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when it lies in fewer splits, as a single small file does.
+
+    Large inputs have more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade messages as JSON text: originals, repeats, malformed text, other streams."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").cast("int")
     ev = events.select(
         "event_id",

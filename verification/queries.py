@@ -48,7 +48,6 @@ REGISTRY: dict[str, Query] = {}
 # Instants that split the event month for incremental builds.
 CUT = datetime(2024, 1, 20)
 CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
-BAR_BLOCK = 256
 DAY = 1440
 MONTH = 43_200
 
@@ -94,6 +93,21 @@ def hour_bars(spark, sf) -> DataFrame:
     return bar_ops.ohlcv(clean(spark, sf), "1 hour")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table. Series look at their bars in several branches; bars are a fact, built once."""
+    path = work_dir(df.sparkSession, name)
+    tables.rebuild(df, path)
+    return tables.read_table(df.sparkSession, path, df.schema)
+
+
+def minute_table(spark, sf) -> DataFrame:
+    return stored(minute_bars(spark, sf), "bars_1min")
+
+
+def hour_table(spark, sf) -> DataFrame:
+    return stored(hour_bars(spark, sf), "bars_1h")
+
+
 def levels(spark, sf) -> DataFrame:
     return depth.unique_depth_levels(inputs.raw_depth(spark, sf))
 
@@ -103,7 +117,7 @@ def books(spark, sf) -> DataFrame:
 
 
 def hour_metrics(spark, sf) -> DataFrame:
-    return metrics.market_metrics(hour_bars(spark, sf), block_rows=BAR_BLOCK)
+    return metrics.market_metrics(hour_table(spark, sf))
 
 
 def last_ingest(df: DataFrame):
@@ -346,18 +360,18 @@ def bar_direction(spark, sf):
 
 @query
 def log_returns(spark, sf):
-    return plain(metrics.log_returns(minute_bars(spark, sf), block_rows=BAR_BLOCK), "log_return")
+    return plain(metrics.log_returns(minute_table(spark, sf)), "log_return")
 
 
 @query
 def price_change_pct(spark, sf):
     names = [f"price_change_pct_{k}min" for k in metrics.CHANGE_ROWS]
-    return plain(metrics.price_changes(minute_bars(spark, sf), block_rows=BAR_BLOCK), *names)
+    return plain(metrics.price_changes(minute_table(spark, sf)), *names)
 
 
 @query
 def rolling_volume_stats(spark, sf):
-    rolled = metrics.rolling_volume(minute_bars(spark, sf), block_rows=BAR_BLOCK)
+    rolled = metrics.rolling_volume(minute_table(spark, sf))
     return plain(
         rolled.select("symbol", "minute", "volume_avg_30", "volume_std_30"),
         "volume_avg_30",
@@ -367,13 +381,13 @@ def rolling_volume_stats(spark, sf):
 
 @query
 def realized_volatility(spark, sf):
-    measured = metrics.realized_volatility(minute_bars(spark, sf), block_rows=BAR_BLOCK)
+    measured = metrics.realized_volatility(minute_table(spark, sf))
     return plain(measured, "realized_volatility")
 
 
 @query
 def volume_zscore(spark, sf):
-    rolled = metrics.rolling_volume(minute_bars(spark, sf), block_rows=BAR_BLOCK)
+    rolled = metrics.rolling_volume(minute_table(spark, sf))
     return plain(
         rolled.select("symbol", "minute", "volume_zscore", "is_volume_anomaly"), "volume_zscore"
     )
@@ -381,18 +395,18 @@ def volume_zscore(spark, sf):
 
 @query
 def rsi_gains_losses(spark, sf):
-    return plain(rsi.rsi_gains_losses(minute_bars(spark, sf), block_rows=BAR_BLOCK))
+    return plain(rsi.rsi_gains_losses(minute_table(spark, sf)))
 
 
 @query
 def rsi_seed(spark, sf):
-    split = rsi.rsi_gains_losses(hour_bars(spark, sf), block_rows=BAR_BLOCK)
+    split = rsi.rsi_gains_losses(hour_table(spark, sf))
     return plain(rsi.seed(split), "avg_gain", "avg_loss")
 
 
 @query
 def rsi_wilder(spark, sf):
-    index = rsi.rsi_wilder(hour_bars(spark, sf), block_rows=BAR_BLOCK)
+    index = rsi.rsi_wilder(hour_table(spark, sf))
     return plain(index, "avg_gain", "avg_loss", "rsi_14")
 
 
@@ -439,13 +453,13 @@ def rsi_zone(spark, sf):
 
 @query
 def cross_perf(spark, sf):
-    return plain(metrics.cross_performance(hour_bars(spark, sf)), "perf_100")
+    return plain(metrics.cross_performance(hour_table(spark, sf)), "perf_100")
 
 
 @query
 def cross_perf_grid(spark, sf):
     """The pivoted grid over the declared symbols; a column that never traded stays NULL."""
-    performance = metrics.cross_performance(minute_bars(spark, sf))
+    performance = metrics.cross_performance(minute_table(spark, sf))
     names = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
     wide = correlation.cross_grid(performance, names)
     return plain(wide.select("minute", *[F.col(n).alias(n.lower()) for n in names]), *map(str.lower, names))
@@ -453,7 +467,7 @@ def cross_perf_grid(spark, sf):
 
 @query
 def return_correlation(spark, sf):
-    return correlation.return_correlation(metrics.cross_performance(hour_bars(spark, sf)))
+    return correlation.return_correlation(metrics.cross_performance(hour_table(spark, sf)))
 
 
 # ---------------------------------------------------------------- order flow
@@ -466,7 +480,7 @@ def taker_flow(spark, sf):
 
 @query
 def cvd(spark, sf):
-    return plain(flow.cumulative_delta(flow.taker_flow(clean(spark, sf))))
+    return plain(flow.cumulative_delta(stored(flow.taker_flow(clean(spark, sf)), "flow")))
 
 
 @query
@@ -568,7 +582,7 @@ def dedup_once_slice(spark, sf):
     """Trades deduplicated once into a table, of which a live slice is read."""
     path = work_dir(spark, "trades_once")
     stg = clean(spark, sf).withColumn("trade_date", day(F.col("traded_at")))
-    tables.upsert_table(stg, path, ["trade_uid"], "trade_date")
+    tables.insert_first(stg, path, ["trade_uid"], "trade_date")
     stored = tables.read_table(spark, path)
     window = trade_ops.live_window(stored, "traded_at", latest(stored, "traded_at"), DAY)
     return plain(window.drop("trade_date"))
@@ -793,7 +807,7 @@ def dq_no_future(spark, sf):
 @query
 def dq_rsi_range(spark, sf):
     """The index itself never leaves its range; doubled, it does."""
-    index = rsi.rsi_wilder(hour_bars(spark, sf), block_rows=BAR_BLOCK)
+    index = rsi.rsi_wilder(hour_table(spark, sf))
     doubled = index.withColumn("rsi_14", F.col("rsi_14").cast("double") * 2)
     sound = index.withColumn("rsi_14", F.col("rsi_14").cast("double"))
     return quality.report(
@@ -885,7 +899,7 @@ def stg_trades_extended(spark, sf):
 
 
 def _split(spark, sf):
-    bars = hour_bars(spark, sf)
+    bars = hour_table(spark, sf)
     as_of = latest(clean(spark, sf), "traded_at")
     return anomaly.split(bars, as_of, train_days=21, score_hours=48), as_of
 
@@ -925,7 +939,7 @@ def anomaly_score(spark, sf):
 def anomaly_range_replace(spark, sf):
     """The stored scores of two days, of which the last day is scored again by a later model."""
     scored, as_of = _scored(spark, sf)
-    bars = hour_bars(spark, sf)
+    bars = hour_table(spark, sf)
     train, recent = anomaly.split(bars, as_of, train_days=21, score_hours=24)
     again = anomaly.score(recent, anomaly.train(train), as_of)
     start = as_of - F.make_dt_interval(hours=F.lit(24))
