@@ -101,6 +101,19 @@ def report(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
     return rows
 
 
+def failing_rows(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
+    """(check, severity, row as JSON) of all violating rows, to be appended to a table of failures."""
+    found = None
+    for name, severity, failing in checks:
+        one = failing.select(
+            F.lit(name).alias("check_name"),
+            F.lit(severity).alias("severity"),
+            F.to_json(F.struct("*")).alias("failing_row"),
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Minimum, maximum, NULL and distinct count of each column, values as text."""
     facts = ["min_value", "max_value", "nulls", "distinct_values"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -26,14 +27,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="marketflow-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one job, below the folder shared by all executors.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a session
-    without the setting (a test on one machine) gets a local folder.
+    The cluster names that folder in ``spark.checkpoint.dir``. A session without
+    the setting gets a local folder when it runs on one machine, and an error
+    when it does not: other executors could not see that folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="marketflow-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _local_dir()
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -108,9 +108,15 @@ def rebuild(df: DataFrame, path: str, time_col: str | None = None, allow_shrink:
 
 
 def _affected(updates: DataFrame, path: str, partition: str) -> DataFrame:
-    """The stored rows in partitions that have updates; the others are pruned when the job runs."""
+    """The stored rows in partitions that have updates; no other partition is read.
+
+    The partition values of the updates, one per day or range, go into the plan
+    as literals. A join with them would leave the pruning to the optimizer,
+    which does not prune by a side without a filter.
+    """
+    touched = [row[0] for row in updates.select(partition).distinct().collect()]
     target = read_table(updates.sparkSession, path, updates.schema)
-    return target.join(updates.select(partition).distinct(), partition, "left_semi")
+    return target.filter(F.col(partition).isin(touched))
 
 
 def upsert_table(updates: DataFrame, path: str, keys: list[str], partition: str) -> None:
@@ -146,14 +152,16 @@ def insert_first(
         _write(updates, path, partition)
         return
     with _kept(updates):
-        stored = _affected(updates, path, partition).select(*keys, F.col(order).alias("_stored"))
+        affected = _affected(updates, path, partition)
+        stored = affected.select(*keys, F.col(order).alias("_stored"))
         earlier = updates.join(stored, keys).filter(F.col(order) < F.col("_stored")).drop("_stored")
         earlier = earlier.select(*updates.columns)
         if not earlier.isEmpty():
             with _kept(earlier):
                 merged = upsert(_affected(earlier, path, partition), earlier, keys)
                 _publish(merged.select(*updates.columns), path, partition)
-        known = _affected(updates, path, partition).select(*keys)
+            affected = _affected(updates, path, partition)
+        known = affected.select(*keys)
         fresh = updates.join(known, keys, "left_anti").select(*updates.columns)
         # a repeated job finds what it has already appended among the known keys
         fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)

@@ -37,3 +37,12 @@ def bars(spark, closes, symbol="BTCUSDT", volume=10, start=NOON):
     return spark.createDataFrame(
         rows, "symbol STRING, minute TIMESTAMP_NTZ, close DECIMAL(38,8), volume DECIMAL(38,8)"
     )
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df) -> str:
+    utils = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")

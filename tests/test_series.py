@@ -84,14 +84,8 @@ def test_blocks_give_what_one_window_per_symbol_gives(frame):
     blocked = metrics.market_metrics(frame, block_rows=64).collect()
     whole = metrics.market_metrics(frame, bounded=True).collect()
 
-    def rounded(rows):
-        return sorted(
-            tuple(round(float(v), 6) if isinstance(v, Decimal) else v for v in row) for row in rows
-        ) if rows else []
-
-    key = lambda row: (row[0], row[1])
-    left = sorted((tuple(r) for r in blocked), key=key)
-    right = sorted((tuple(r) for r in whole), key=key)
+    left = sorted((tuple(r) for r in blocked), key=lambda row: row[:2])
+    right = sorted((tuple(r) for r in whole), key=lambda row: row[:2])
     assert len(left) == len(right)
     for a, b in zip(left, right):
         for x, y in zip(a, b):

@@ -838,6 +838,21 @@ def dq_report(spark, sf):
     )
 
 
+@query
+def dq_stored_failures(spark, sf):
+    """Violating rows as a stored table, counted by check and by the price they were found with."""
+    stg = clean(spark, sf)
+    path = work_dir(spark, "failures")
+    lowered = stg.withColumn("price", F.col("price") - 5)
+    checks = [
+        ("trades positive", "error", stg.filter(quality.trades_not_positive())),
+        ("lowered positive", "warn", lowered.filter(quality.trades_not_positive())),
+    ]
+    tables.append(quality.failing_rows(checks), path)
+    uid = F.get_json_object("failing_row", "$.trade_uid")
+    return tables.read_table(spark, path).select("check_name", "severity", uid.alias("trade_uid"))
+
+
 @query
 def table_profile(spark, sf):
     stg = clean(spark, sf)
