@@ -100,6 +100,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return tables.read_table(df.sparkSession, path, df.schema)
 
 
+def trades_table(spark, sf) -> DataFrame:
+    """Deduplicated trades as a table, for queries that look at them more than once."""
+    return stored(clean(spark, sf), "trades")
+
+
+def levels_table(spark, sf) -> DataFrame:
+    return stored(levels(spark, sf), "levels")
+
+
 def minute_table(spark, sf) -> DataFrame:
     return stored(minute_bars(spark, sf), "bars_1min")
 
@@ -174,7 +183,7 @@ def fct_orderbook_snapshots(spark, sf):
 @query
 def merge_upsert(spark, sf):
     """Bars up to a cut, then the bars of everything traded since an earlier hour."""
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     target = bar_ops.ohlcv(stg.filter(F.col("traded_at") < lit_ntz(CUT)))
     edge = lit_ntz(CUT) - F.make_dt_interval(hours=F.lit(6))
     updates = bar_ops.ohlcv(stg.filter(F.col("traded_at") >= edge))
@@ -183,7 +192,7 @@ def merge_upsert(spark, sf):
 
 @query
 def incremental_lookback(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     target = bar_ops.ohlcv(stg.filter(F.col("traded_at") < lit_ntz(CUT)))
     sliced = merge.incremental_slice(stg, target, "traded_at", "minute", 5)
     return plain(sliced.select("symbol", "trade_id", "traded_at", "price"))
@@ -295,7 +304,7 @@ def live_window_trades(spark, sf):
 
 @query
 def live_window_depth(spark, sf):
-    lv = levels(spark, sf)
+    lv = levels_table(spark, sf)
     return plain(trade_ops.live_window(lv, "ingest_time", last_ingest(lv), MONTH))
 
 
@@ -333,7 +342,7 @@ def ohlcv_1h(spark, sf):
 
 @query
 def ohlcv_1min_live(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     return plain(live.ohlcv_live(stg, latest(stg, "traded_at")))
 
 
@@ -344,14 +353,15 @@ def recent_bars(spark, sf):
 
 @query
 def bars_with_dim(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     return plain(bar_ops.bars_with_dim(bar_ops.ohlcv(stg), inputs.dim_symbols(stg)))
 
 
 @query
 def bar_direction(spark, sf):
-    bars = minute_bars(spark, sf)
-    deltas = flow.taker_flow(clean(spark, sf)).select("symbol", "minute", "delta")
+    trades = trades_table(spark, sf)
+    bars = bar_ops.ohlcv(trades)
+    deltas = flow.taker_flow(trades).select("symbol", "minute", "delta")
     return bars.join(deltas, ["symbol", "minute"]).select(
         "symbol",
         "minute",
@@ -492,8 +502,10 @@ def order_pressure(spark, sf):
 
 @query
 def trader_verdict(spark, sf):
-    movers = metrics.top_movers(hour_metrics(spark, sf))
-    return live.trader_verdict(movers, flow.order_pressure(flow.taker_flow(clean(spark, sf))))
+    trades = trades_table(spark, sf)
+    bars = stored(bar_ops.ohlcv(trades, "1 hour"), "bars_1h")
+    movers = metrics.top_movers(metrics.market_metrics(bars))
+    return live.trader_verdict(movers, flow.order_pressure(flow.taker_flow(trades)))
 
 
 # ---------------------------------------------------------------- order book
@@ -506,12 +518,12 @@ def book_best_levels(spark, sf):
 
 @query
 def latest_book_levels(spark, sf):
-    return plain(book.latest_levels(levels(spark, sf)))
+    return plain(book.latest_levels(levels_table(spark, sf)))
 
 
 @query
 def orderbook_metrics_live(spark, sf):
-    lv = levels(spark, sf)
+    lv = levels_table(spark, sf)
     return plain(book.orderbook_live(lv, last_ingest(lv), MONTH))
 
 
@@ -522,18 +534,18 @@ def crossed_books(spark, sf):
 
 @query
 def book_ladder(spark, sf):
-    return book.ladder(levels(spark, sf))
+    return book.ladder(levels_table(spark, sf))
 
 
 @query
 def depth_within_bps(spark, sf):
-    return plain(book.depth_within(levels(spark, sf), 3))
+    return plain(book.depth_within(levels_table(spark, sf), 3))
 
 
 @query
 def kpi_strip(spark, sf):
     """Trades and books have different symbols here; the strip pairs them one to one, in order."""
-    lv = levels(spark, sf)
+    lv = levels_table(spark, sf)
     pairs = F.create_map(
         *[
             F.lit(x)
@@ -544,7 +556,8 @@ def kpi_strip(spark, sf):
         ]
     )
     live_books = book.orderbook_live(lv, last_ingest(lv), MONTH).withColumn("symbol", pairs[F.col("symbol")])
-    strip = live.kpi_strip(hour_bars(spark, sf), hour_metrics(spark, sf), live_books)
+    bars = hour_table(spark, sf)
+    strip = live.kpi_strip(bars, metrics.market_metrics(bars), live_books)
     return plain(strip, *METRIC_COLUMNS)
 
 
@@ -574,7 +587,7 @@ def fct_depth_snapshots(spark, sf):
 @query
 def fct_ohlcv_1min(spark, sf):
     """Bars after an incremental build that sees trades the first build had not received."""
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     target = facts.fct_ohlcv_1min(stg.filter(F.col("ingest_time") < lit_ntz(CUT)))
     return plain(facts.incremental_bars(target, stg))
 
@@ -595,12 +608,12 @@ def dedup_once_slice(spark, sf):
 
 @query
 def latency_by_symbol(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     return slo.latency(stg, last_ingest(stg), DAY)
 
 
 def _global(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     return slo.latency_global(stg, inputs.raw_trades(spark, sf), last_ingest(stg), DAY)
 
 
@@ -616,26 +629,26 @@ def slo_budget(spark, sf):
 
 @query
 def throughput_per_minute(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     return slo.throughput(stg, last_ingest(stg), DAY)
 
 
 @query
 def freshness(spark, sf):
-    stg = clean(spark, sf)
-    return slo.freshness(stg, levels(spark, sf), last_ingest(stg))
+    stg = trades_table(spark, sf)
+    return slo.freshness(stg, levels_table(spark, sf), last_ingest(stg))
 
 
 @query
 def freshness_status(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     soon = last_ingest(stg) + F.make_dt_interval(secs=F.lit(45.0))
-    return slo.freshness_labels(slo.freshness(stg, levels(spark, sf), soon))
+    return slo.freshness_labels(slo.freshness(stg, levels_table(spark, sf), soon))
 
 
 @query
 def freshness_alert(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     return plain(slo.freshness_alert(stg, last_ingest(stg) + F.make_dt_interval(mins=F.lit(4))))
 
 
@@ -709,7 +722,7 @@ def alert_edges(spark, sf):
 
 @query
 def late_trades_policy(spark, sf):
-    judged = merge.arrival_batches(clean(spark, sf))
+    judged = merge.arrival_batches(trades_table(spark, sf))
     return judged.groupBy("batch").agg(
         F.count(F.lit(1)).alias("received"), F.count_if("is_late").alias("late")
     )
@@ -745,7 +758,7 @@ def dq_accepted_values(spark, sf):
 @query
 def dq_ohlc_invariants(spark, sf):
     """Bars whose close was stored one unit too high."""
-    bars = minute_bars(spark, sf)
+    bars = minute_table(spark, sf)
     shifted = bars.withColumn("close", F.col("close").cast("decimal(28,8)") + 1)
     broken = quality.violations(shifted, quality.ohlc_broken())
     sound = quality.violations(bars, quality.ohlc_broken())
@@ -759,7 +772,7 @@ def dq_ohlc_invariants(spark, sf):
 @query
 def dq_unique_symbol_minute(spark, sf):
     """Appending a recomputed day instead of merging it leaves duplicate bars."""
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     again = stg.filter(F.col("traded_at") >= lit_ntz(CUT))
     appended = bar_ops.ohlcv(stg).unionByName(bar_ops.ohlcv(again))
     return quality.duplicate_keys(appended, ["symbol", "minute"])
@@ -768,7 +781,7 @@ def dq_unique_symbol_minute(spark, sf):
 @query
 def dq_book_invariants(spark, sf):
     """Snapshots mixed by day of receipt show crossed books; true snapshots do not."""
-    lv = levels(spark, sf)
+    lv = levels_table(spark, sf)
     mixed = book.book_agg(
         lv.withColumn("last_update_id", F.unix_date(day(F.col("ingest_time"))).cast("bigint")),
         ["symbol", "last_update_id"],
@@ -823,9 +836,9 @@ def dq_rsi_range(spark, sf):
 @query
 def dq_report(spark, sf):
     raw, deep = inputs.raw_trades(spark, sf), inputs.raw_depth(spark, sf)
-    stg = trade_ops.stg_trades(raw)
-    bars = bar_ops.ohlcv(stg)
-    lv = depth.unique_depth_levels(deep)
+    stg = stored(trade_ops.stg_trades(raw), "trades")
+    bars = stored(bar_ops.ohlcv(stg), "bars_1min")
+    lv = stored(depth.unique_depth_levels(deep), "levels")
     return quality.report(
         [
             ("trades positive", "error", stg.filter(quality.trades_not_positive())),
@@ -857,7 +870,7 @@ def dq_stored_failures(spark, sf):
 
 @query
 def table_profile(spark, sf):
-    stg = clean(spark, sf)
+    stg = trades_table(spark, sf)
     columns = ["symbol", "trade_id", "price", "quantity", "is_buyer_market_maker"]
     return quality.profile(stg, columns)
 
@@ -916,19 +929,20 @@ def stg_trades_extended(spark, sf):
 
 
 def _split(spark, sf):
-    bars = hour_table(spark, sf)
-    as_of = latest(clean(spark, sf), "traded_at")
-    return anomaly.split(bars, as_of, train_days=21, score_hours=48), as_of
+    trades = trades_table(spark, sf)
+    bars = stored(bar_ops.ohlcv(trades, "1 hour"), "bars_1h")
+    as_of = latest(trades, "traded_at")
+    return bars, anomaly.split(bars, as_of, train_days=21, score_hours=48), as_of
 
 
 def _scored(spark, sf):
-    (train, recent), as_of = _split(spark, sf)
-    return anomaly.score(recent, anomaly.train(train), as_of), as_of
+    bars, (train, recent), as_of = _split(spark, sf)
+    return bars, anomaly.score(recent, anomaly.train(train), as_of), as_of
 
 
 @query
 def anomaly_split(spark, sf):
-    (train, recent), _ = _split(spark, sf)
+    _, (train, recent), _ = _split(spark, sf)
     return plain(
         train.select(F.lit("train").alias("part"), "symbol", "minute", "volume").unionByName(
             recent.select(F.lit("score").alias("part"), "symbol", "minute", "volume")
@@ -938,7 +952,7 @@ def anomaly_split(spark, sf):
 
 @query
 def anomaly_train(spark, sf):
-    (train, _), _ = _split(spark, sf)
+    _, (train, _), _ = _split(spark, sf)
     model = anomaly.train(train)
     return plain(model.withColumn("hour", F.coalesce(F.col("hour"), F.lit(-1))), "mean", "deviation")
 
@@ -948,15 +962,14 @@ SCORES = ["forecast", "lower_bound", "upper_bound", "distance"]
 
 @query
 def anomaly_score(spark, sf):
-    scored, _ = _scored(spark, sf)
+    _, scored, _ = _scored(spark, sf)
     return plain(scored, *SCORES)
 
 
 @query
 def anomaly_range_replace(spark, sf):
     """The stored scores of two days, of which the last day is scored again by a later model."""
-    scored, as_of = _scored(spark, sf)
-    bars = hour_table(spark, sf)
+    bars, scored, as_of = _scored(spark, sf)
     train, recent = anomaly.split(bars, as_of, train_days=21, score_hours=24)
     again = anomaly.score(recent, anomaly.train(train), as_of)
     start = as_of - F.make_dt_interval(hours=F.lit(24))
@@ -965,24 +978,24 @@ def anomaly_range_replace(spark, sf):
 
 @query
 def anomaly_counts(spark, sf):
-    return anomaly.counts(_scored(spark, sf)[0])
+    return anomaly.counts(_scored(spark, sf)[1])
 
 
 @query
 def anomaly_alert(spark, sf):
-    scored, as_of = _scored(spark, sf)
+    _, scored, as_of = _scored(spark, sf)
     return plain(anomaly.alert(scored, as_of, minutes=2 * DAY))
 
 
 @query
 def anomaly_panel(spark, sf):
-    scored, as_of = _scored(spark, sf)
+    _, scored, as_of = _scored(spark, sf)
     return plain(anomaly.panel(scored, "CLICK", as_of, hours=48), *SCORES)
 
 
 @query
 def anomaly_eval(spark, sf):
-    return plain(anomaly.evaluate(_scored(spark, sf)[0]), "mae", "rmse", "coverage")
+    return plain(anomaly.evaluate(_scored(spark, sf)[1]), "mae", "rmse", "coverage")
 
 
 # ---------------------------------------------------------------- streams
