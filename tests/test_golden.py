@@ -188,6 +188,21 @@ def test_log_return_spans_a_missing_minute(spark):
     assert last.delta == 10
 
 
+def test_zero_prices_leave_ratios_unknown(spark):
+    rows = metrics.market_metrics(bars(spark, [100, 0, 50])).orderBy("minute").collect()
+    assert [r.price_change_pct_1min for r in rows] == [None, -100, None]
+    returns = metrics.log_returns(bars(spark, [100, 0, 50])).orderBy("rn").collect()
+    assert [r.log_return for r in returns] == [None, None, None]
+
+
+def test_row_rules_of_one_table_are_one_pass(spark):
+    df = spark.range(10)
+    rules = [("small", "warn", F.col("id") < 3), ("none", "error", F.col("id") < 0),
+             ("undecided", "error", F.lit(None).cast("boolean"))]
+    shown = {r.check_name: (r.failures, r.status) for r in quality.row_report(df, rules).collect()}
+    assert shown == {"small": (3, "warn"), "none": (0, "pass"), "undecided": (0, "pass")}
+
+
 def test_volume_anomaly_flag(spark):
     quiet = bars(spark, [100 + i % 3 for i in range(29)])
     wobble = quiet.withColumn("volume", F.col("volume") + F.minute("minute") % 2)
