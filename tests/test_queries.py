@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF
 from helpers import plan
+from verification import oracles, queries
 from verification.compare import compare, tables
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.REGISTRY, oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def duck():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
