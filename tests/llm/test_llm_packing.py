@@ -17,9 +17,18 @@ NAME = "byte_bpe_50k.json"
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=6))
 def test_ids_equal_the_tokenizer(texts):
-    texts = [*texts, "a  b\n\n c\t 'll 12ab <|endoftext|> é½²x_y"]
     tok = Tokenizer.from_file(public_tokenizers.path(NAME))
-    assert [list(x) for x in encoder(NAME).encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for t in [*texts, "a  b\n\n c\t 'll 12ab <|endoftext|> é½²x_y"]:
+        assert list(encoder(NAME).encode(t)) == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_ids_equal_the_tokenizer_for_every_code_point():
+    tok = Tokenizer.from_file(public_tokenizers.path(NAME))
+    assert encoder(NAME).ranks is not None
+    for low in range(0, 0x110000, 256):
+        if not 0xD800 <= low < 0xE000:
+            text = "\n".join(f"a{chr(c)}b 1{chr(c)} {chr(c)}{chr(c)}" for c in range(low, low + 256))
+            assert list(encoder(NAME).encode(text)) == tok.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
