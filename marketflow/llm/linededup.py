@@ -34,18 +34,28 @@ def _templates(tokens: Column) -> Column:
     return F.when(n >= LEAST_VARIABLE, F.array(whole, *varied)).when(n >= LEAST_TOKENS, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _longest(tokens: Column) -> Column:
+    """A line's longest token, the greatest of equals."""
+    return F.array_max(F.transform(tokens, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_min_docs: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``row`` (all columns), ``clean`` (the text without recurring lines), ``n_lines``, ``n_dropped``.
 
-    A line recurs if one of its templates occurs in ``min_docs`` documents; for
-    lines of ``long_tokens`` tokens ``long_min_docs`` are enough. The document of
-    the least id that has a template keeps its lines, so that one copy of any
-    passage stays; all others lose theirs. Line breaks are ``\\n``; the
-    lines left keep their order and wording.
-
-    Templates are counted with partial sums, once per document. Only hashes, ids
-    and line numbers are shuffled besides the documents themselves, and a hot
-    template's join may be split.
+    A line recurs if one of its templates occurs in ``min_docs`` documents of
+    different context; for lines of ``long_tokens`` tokens ``long_min_docs`` are
+    enough. A line's context is the longest token in the other lines of its
+    document, which copies of a document have in common: a text that was copied as
+    a whole has no recurring lines for that, and is left to near-duplicate
+    removal. Where a template's contexts are less than a quarter of its documents
+    these are taken for copies as well. The document of the least id that has a
+    template keeps its lines, so that one copy of any passage stays; all others
+    lose theirs. Line breaks are ``\\n``; the lines left keep their order and
+    wording.
+
+    Templates are counted with partial sums, once per document and context. Only
+    hashes, ids and line numbers are shuffled besides the documents themselves,
+    and a hot template's join may be split.
 
     Null text stays null, without lines. A null id counts as a document and keeps
     its lines. Rows that repeat an id count each, and share what is dropped.
@@ -55,9 +65,21 @@ def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_
     base = docs.select(row, F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     lines = base.select("doc", F.transform(F.split("text", "\n", -1), lambda x: F.split(masked(x), " ")).alias("lines"))
     keyed = lines.select("doc", F.transform("lines", lambda t: F.struct(_templates(t).alias("keys"), (F.size(t) >= long_tokens).alias("long"))).alias("lines"))
-    once = keyed.select("doc", F.explode(F.array_distinct(F.flatten(F.transform("lines", lambda x: F.transform(x["keys"], lambda k: F.struct(k.alias("key"), x["long"].alias("long"))))))).alias("k"))
-    counted = once.groupBy(F.col("k.key").alias("key"), F.col("k.long").alias("long")).agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
-    recurring = counted.filter(F.col("n") >= F.when(F.col("long"), long_min_docs).otherwise(min_docs)).select("key", "first")
+
+    # the longest token of each line, the document's, and that of its other lines
+    most = lines.select("doc", "lines", F.transform("lines", lambda t, i: F.struct(_longest(t).alias("m"), i.alias("i"))).alias("m"))
+    most = most.select("doc", "lines", F.array_max("m").alias("top"), "m")
+    most = most.select("doc", "lines", "top", F.array_max(F.filter("m", lambda x: x["i"] != F.col("top.i"))).alias("second"))
+
+    def counted_keys(t, i):
+        context = F.coalesce(F.xxhash64(F.when(i == F.col("top.i"), F.col("second.m")).otherwise(F.col("top.m"))), F.lit(0).cast("bigint"))
+        return F.transform(_templates(t), lambda k: F.struct(k.alias("key"), (F.size(t) >= long_tokens).alias("long"), context.alias("context")))
+
+    once = most.select("doc", F.explode(F.array_distinct(F.flatten(F.transform("lines", counted_keys)))).alias("k")).select("doc", "k.*")
+    by_context = once.groupBy("key", "long", "context").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
+    counted = by_context.groupBy("key", "long").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n"), F.min("first").alias("first"))
+    enough = (F.col("contexts") >= F.when(F.col("long"), long_min_docs).otherwise(min_docs)) & (F.col("contexts") * 4 >= F.col("n"))
+    recurring = counted.filter(enough).select("key", "first")
     placed = keyed.select("doc", F.posexplode("lines").alias("line", "x")).select("doc", "line", F.explode("x.keys").alias("key"))
     dropped = placed.join(recurring, "key").filter("doc != first").groupBy("doc").agg(F.collect_set("line").alias("gone"))
     joined = base.join(dropped, "doc", "left").select("row", "text", F.split("text", "\n", -1).alias("all"), "gone")
@@ -81,16 +103,20 @@ lines AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(
 tok AS (
   SELECT r, doc_id, pos, string_split(trim(regexp_replace(regexp_replace(line, '(^|[ \\t\\r\\f])[^ \\t\\r\\f0-9]*[0-9][^ \\t\\r\\f]*', '\\1<*>', 'g'), '[ \\t\\r\\f]+', ' ', 'g'), ' '), ' ') AS t
   FROM lines),
-sized AS (SELECT *, len(t) AS n FROM tok WHERE len(t) >= {LEAST_TOKENS}),
+longest AS (
+  SELECT *, max(list_max([{{'n': length(w), 'w': w}} for w in t])) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW) AS context
+  FROM tok),
+sized AS (SELECT *, len(t) AS n FROM longest WHERE len(t) >= {LEAST_TOKENS}),
 keys AS (
-  SELECT r, doc_id, pos, n, n || '|0|' || array_to_string(t, ' ') AS key FROM sized
+  SELECT r, doc_id, pos, n, context, n || '|0|' || array_to_string(t, ' ') AS key FROM sized
   UNION ALL
-  SELECT r, doc_id, pos, n, n || '|' || (i + 1) || '|' || array_to_string(t[1:a], ' ') || '|' || array_to_string(t[b + 1:n], ' ') AS key
+  SELECT r, doc_id, pos, n, context, n || '|' || (i + 1) || '|' || array_to_string(t[1:a], ' ') || '|' || array_to_string(t[b + 1:n], ' ') AS key
   FROM (SELECT *, {LEADING} + (n - {LEADING}) * i // {SEGMENTS} AS a, {LEADING} + (n - {LEADING}) * (i + 1) // {SEGMENTS} AS b
         FROM sized, range({SEGMENTS}) AS s(i) WHERE n >= {LEAST_VARIABLE})),
+counted AS (SELECT key, coalesce(CAST(context AS VARCHAR), '') AS context, count(DISTINCT r) AS docs, min(doc_id) AS first, max(n) AS n FROM keys GROUP BY 1, 2),
 recurring AS (
-  SELECT key, min(doc_id) AS first FROM keys GROUP BY key
-  HAVING count(DISTINCT r) >= CASE WHEN max(n) >= 50 THEN 2 ELSE 4 END),
+  SELECT key, min(first) AS first FROM counted GROUP BY key
+  HAVING count(*) >= CASE WHEN max(n) >= 50 THEN 2 ELSE 4 END AND 4 * count(*) >= sum(docs)),
 gone AS (SELECT DISTINCT k.doc_id, k.pos FROM keys k JOIN recurring USING (key) WHERE k.doc_id != first),
 put AS (
   SELECT b.r, string_agg(b.line, chr(10) ORDER BY b.pos) FILTER (WHERE g.pos IS NULL) AS text, count(*) AS n_lines, count(g.pos) AS n_dropped
