@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketflow.llm import chat, decontaminate, langid, licenses, linededup, packing, quality, sharding, simhash, winnowing
 from marketflow.llm.common import table
 
@@ -114,3 +115,8 @@ def op9_decontaminate(spark, sf_dir) -> DataFrame:
 def op10_sharding(spark, sf_dir) -> DataFrame:
     found = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def pipeline(spark, sf_dir) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -19,26 +19,36 @@ LEAF = 96
 PAIRS = 1_000_000
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """64-bit SimHash of a text's word shingles, repeats included; 0 without words.
+def shingle_hashes(text: str | None, words: int = 3) -> np.ndarray:
+    """XXH64 (seed 42) of each of a text's word shingles, repeats included.
 
     Words are split at ASCII white space after A-Z are lower-cased. A text of
-    fewer words has one shingle, the whole sequence. A bit is 1 if it is set in
-    over half of the shingles' XXH64 (seed 42).
+    fewer words has one shingle, the whole sequence; one without words has none.
     """
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = min(words, len(tokens))
     spans = zip(starts[: len(tokens) - n + 1].tolist(), ends[n - 1 :].tolist())
-    digest, ones, count = xxhash.xxh64_intdigest, np.zeros(64, np.int64), len(tokens) - n + 1
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in spans), np.uint64, count)
-    for i in range(0, count, 1 << 16):
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], 42) for a, b in spans), np.uint64, len(tokens) - n + 1)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > count, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """64-bit SimHash of a text's word shingles; 0 without words."""
+    hashes = shingle_hashes(text, words)
+    return majority(hashes) if len(hashes) else 0
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
@@ -229,3 +239,134 @@ def near_duplicates(docs: DataFrame, slack: int = 2, words: int = 3, shard_point
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = named.join(least, "root").select("fp", "component_id")
     return found.join(of, "fp").select("doc_id", "fp", "component_id")
+
+
+def _describe(text: str | None, words: int, keys: int) -> tuple[int, bytes]:
+    """SimHash of the word shingles, and the ``keys`` least distinct shingle hashes."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0, b""
+    return majority(hashes), np.unique(hashes)[:keys].tobytes()
+
+
+def near_copies(
+    docs: DataFrame,
+    words: int = 5,
+    similarity: float = 0.8,
+    slack: int = 18,
+    keys: int = 6,
+    forests: int = 4,
+    shard_points: int = 4000,
+    id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """(doc_id, component_id): documents linked by texts whose shingle sets have a Jaccard likeness of ``similarity``.
+
+    Texts that alike differ in up to ``slack`` of 64 SimHash bits, a radius at
+    which balls around any vantage point overlap all shards of a tree over the
+    whole table. So the space is parted by content first: a text visits a shard
+    for each of its ``keys`` least shingle hashes (texts as like as this share one
+    with a probability of over 1 - 0.2^6). Inside a shard a vantage-point tree
+    finds all fingerprints within ``slack`` and keeps ``forests`` forests of them,
+    closest links first. Each of these links is then checked on the shingles (as
+    32-bit hashes) of the whole texts.
+
+    Copies are one text. A key of over ``shard_points`` texts is dealt to
+    several shards, each of which also gets the key's first text. Links are as
+    many as texts, keys and forests at most, never all pairs of a group.
+
+    Null text is empty; texts without words are copies of one another. A null
+    doc_id takes part and never names a component. Repeated rows come out as often
+    as they came in. Empty table: no rows. Other columns aren't looked at.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [_describe(t.as_py(), words, keys) for t in batch.column(1)]
+            fp = np.array([f for f, _ in got], np.uint64).view(np.int64)
+            low = [np.frombuffer(b, np.int64).tolist() for _, b in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "digest", "fp", "keys"])
+
+    texts = F.coalesce(F.col(text), F.lit(""))
+    ids = docs.select(F.col(id).cast("bigint").alias("doc_id"), texts.alias("text"), F.md5(F.lower(F.trim(F.regexp_replace(texts, r"[ \t\n\x0B\f\r]+", " ")))).alias("digest"))
+    found = stored(ids.mapInArrow(run, "doc_id bigint, digest string, fp bigint, keys array<bigint>"), "copies")
+    distinct = stored(found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys")).filter("first IS NOT NULL"), "copies_distinct")
+
+    placed = distinct.select("first", "fp", F.explode("keys").alias("key"))
+    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "fp")).alias("head")).filter("n > 1")
+    several = F.ceil(F.col("n") / shard_points)
+    own = placed.join(shared, "key").select("key", F.pmod(F.xxhash64("first"), several).alias("part"), "first", "fp")
+    # a key's first text goes to all of its parts
+    heads = shared.filter(F.col("n") > shard_points).select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), several - 1)).alias("part"), "head.first", "head.fp")
+
+    def links(table: pa.Table) -> pa.Table:
+        first, fp = table["first"].to_numpy(), table["fp"].to_numpy().view(np.uint64)
+        a, b = closest_forests(fp, slack, forests)
+        return pa.table({"a": pa.array(first[a], pa.int64()), "b": pa.array(first[b], pa.int64())})
+
+    candidates = stored(own.union(heads).groupBy("key", "part").applyInArrow(links, "a bigint, b bigint").filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "copies_candidates")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).view(np.int32) for t in batch.column(1)], pa.list_(pa.int32()))], names=["id", "set"])
+
+    wanted = candidates.select(F.col("a").alias("id")).union(candidates.select(F.col("b").alias("id"))).distinct()
+    whole = ids.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, set array<int>")
+    whole = stored(whole.dropDuplicates(["id"]), "copies_sets")
+    pairs = candidates.join(whole.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(whole.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    good = pairs.filter(both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
+    roots = connected(good)
+    of = distinct.join(roots, distinct["first"] == roots["node"], "left").select("digest", F.coalesce("root", "first").alias("component_id"))
+    return found.join(of, "digest", "left").select("doc_id", "component_id")
+
+
+def closest_forests(fp: np.ndarray, slack: int, forests: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest over the fingerprints that takes the closest links first, then one of the links left, and so on; as pairs of indices.
+
+    What a group of links holds together by so many separate ways is held
+    together by the result as well, although that is linear in the group's size.
+    """
+    bits, to_one = np.unique(fp, return_inverse=True)
+    order = np.argsort(to_one, kind="stable")
+    one = order[np.searchsorted(to_one[order], np.arange(len(bits)))]  # an index of each
+    rest = np.nonzero(one[to_one] != np.arange(len(fp)))[0]
+    a, b = [rest], [one[to_one[rest]]]
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def forest_of(x, y, d):
+        # Kruskal's rule, a distance at a time
+        up, kept = np.arange(len(bits)), []
+        for step in range(slack + 1):
+            at = np.nonzero(d == step)[0]
+            while len(at := at[up[x[at]] != up[y[at]]]):
+                hi, lo = np.maximum(up[x[at]], up[y[at]]), np.minimum(up[x[at]], up[y[at]])
+                _, pick = np.unique(hi, return_index=True)  # each root hooks to one smaller root
+                kept.append(at[pick])
+                up[hi[pick]] = lo[pick]
+                while not ((top := up[up]) == up).all():
+                    up = top
+        return np.concatenate(kept) if kept else np.zeros(0, np.int64)
+
+    def reduced(parts):
+        x, y, d = (np.concatenate(c) for c in zip(*parts))
+        keep = np.zeros(len(x), bool)
+        for _ in range(forests):
+            left = np.nonzero(~keep)[0]
+            keep[left[forest_of(x[left], y[left], d[left])]] = True
+        return [(x[keep], y[keep], d[keep])]
+
+    for q, m in links_within(bits, bits, slack):
+        upper = q < m
+        q, m = q[upper], m[upper]
+        found.append((q, m, distance(bits[q], bits[m])))
+        held += len(q)
+        if held > PAIRS:
+            found = reduced(found)
+            held = len(found[0][0])
+    if found:
+        x, y, _ = reduced(found)[0]
+        a.append(one[x])
+        b.append(one[y])
+    return np.concatenate(a), np.concatenate(b)

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from marketflow.llm.components import connected
-from marketflow.llm.simhash import Router, fingerprint, links_within, near_duplicates
+from marketflow.llm.simhash import Router, closest_forests, fingerprint, forest, links_within, near_copies, near_duplicates
 
 
 def plain(text):
@@ -102,3 +102,61 @@ def test_groups_equal_a_double_loop(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def jaccard_roots(texts, similarity=0.8):
+    sets = {}
+    for t in texts:
+        w = (t or "").lower().split()
+        sets[t] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    links = []
+    keys = list(sets)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                links.append((a, b))
+    return keys, links
+
+
+def test_closest_forest_spans_what_the_links_span():
+    points = clustered(np.random.default_rng(3), 400)
+    points = np.concatenate([points, points[:30]])
+    a, b = closest_forests(points, 9, 1)
+    d = np.bitwise_count(points[:, None] ^ points[None, :])
+    x, y = np.nonzero(d <= 9)
+    assert (forest(len(points), a, b) == forest(len(points), x, y)).all()
+    assert len(a) == len(points) - len(set(forest(len(points), a, b).tolist()))
+    more = closest_forests(points, 9, 3)
+    assert len(a) < len(more[0]) <= 3 * len(points)
+
+
+def test_near_copies_equal_a_double_loop(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(900)]
+    lead = " ".join(rng.choice(words, 12))  # in many texts
+    rows = []
+    for i in range(40):
+        text = list(rng.choice(words, int(rng.integers(20, 400))))
+        rows.append((10 * i, lead + " " + " ".join(text)))
+        for k in range(int(rng.integers(0, 4))):
+            other = list(text)
+            for _ in range(max(1, len(text) // 60)):
+                other[int(rng.integers(0, len(text)))] = "zz"
+            rows.append((10 * i + 1 + k, lead + " " + " ".join(other)))
+    rows += [(5000, rows[0][1]), (5001, rows[0][1].upper()), (6000, None), (6001, ""), (6002, " "), (6003, "one two"), (6004, "one  two")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS digest", "2 AS keys", "3 AS id")
+    got = {r.doc_id: r.component_id for r in near_copies(docs, shard_points=30).collect()}
+    texts = sorted({" ".join((t or "").lower().split()) for _, t in rows})
+    keys, links = jaccard_roots(texts)
+    root = {t: t for t in keys}
+    for _ in range(len(keys)):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    least = {}
+    for i, t in rows:
+        r = root[" ".join((t or "").lower().split())]
+        least[r] = min(i, least.get(r, i))
+    want = {i: least[root[" ".join((t or "").lower().split())]] for i, t in rows}
+    wrong = {i for i in want if want[i] != got[i]}
+    assert len(wrong) <= 0.02 * len(rows), wrong
+    assert near_copies(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
