@@ -106,19 +106,26 @@ def fit(rows: np.ndarray, labels: list[str], per_language: int = 24, ridge: floa
     return Model(languages, landmarks, (to_features @ beta).astype(np.float32), (mean_y - mean_x @ beta).astype(np.float32))
 
 
-def train(docs: DataFrame, usable: Column, per_language: int = 400, landmarks: int = 24, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """Fit on at most ``per_language`` labelled rows of each language; None if there are none.
+def train(
+    docs: DataFrame, usable: Column, per_language: int = 400, landmarks: int = 24, languages: int = 256, id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> Model | None:
+    """Fit on at most ``per_language`` labelled rows of each of the ``languages`` most frequent languages; None if there are none.
 
     The rows are those of least hash of their id among rows where ``usable`` holds
     and lang and text aren't null, so that the choice is the same in every run.
-    Only their presence bits (2 KB a row) come to the driver.
+    Each language is counted first; its count gives the hash below which about
+    twice as many rows lie as are asked for, and only those are moved and
+    ordered. Only their presence bits (2 KB a row) come to the driver.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "size")
-    labelled = docs.select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"), F.octet_length(text).alias("size"), usable.alias("u"), F.col(text).alias("text"))
-    labelled = labelled.filter("u AND lang IS NOT NULL AND text IS NOT NULL")
-    chosen = labelled.select("doc_id", "lang", "size").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-    ids = chosen.select("doc_id", "lang", "size").distinct()
-    picked = labelled.select("doc_id", "lang", "size", "text").join(ids, ["doc_id", "lang", "size"], "left_semi")
+    labelled = docs.select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"), usable.alias("u"))
+    labelled = labelled.filter("u AND lang IS NOT NULL AND text IS NOT NULL").drop("u")
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    if not counts:
+        return None
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], 1.0 if r["n"] <= 4 * per_language else 2.0 * per_language / r["n"])))
+    low = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.try_element_at(share, F.col("lang")) * (1 << 40)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    picked = labelled.filter(low).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,15 +133,12 @@ def train(docs: DataFrame, usable: Column, per_language: int = 400, landmarks: i
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["doc_id", "lang", "bits"])
 
     got = picked.select(F.col("doc_id").cast("string"), "lang", "text").mapInArrow(bits, "doc_id string, lang string, bits binary").collect()
-    # repeated rows of one id could bring more than asked for
     got = sorted(got, key=lambda r: (r["lang"], r["bits"], str(r["doc_id"])))
+    if not got:
+        return None
     taken: dict[str, list[bytes]] = {}
     for r in got:
-        own = taken.setdefault(r["lang"], [])
-        if len(own) < per_language:
-            own.append(bytes(r["bits"]))
-    if not taken:
-        return None
+        taken.setdefault(r["lang"], []).append(bytes(r["bits"]))
     rows = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for own in taken.values() for b in own], bool)
     return fit(rows, [x for x, own in taken.items() for _ in own], landmarks)
 
