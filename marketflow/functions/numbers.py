@@ -1,8 +1,11 @@
 """Exact numbers.
 
-Prices and quantities are staged as DECIMAL(18,8): a product of two of them is
-an exact DECIMAL(37,16), while DECIMAL(38,8) operands would lose digits. Results
-are published with eight decimals, rounded half away from zero.
+Prices and quantities are staged and published as DECIMAL(38,8), rounded half
+away from zero. Spark would cut decimals off a product or quotient of such wide
+operands. Operands that fit DECIMAL(18,8) are therefore multiplied and divided as
+such, which is exact; larger ones are multiplied by whole and fractional parts,
+which gives the same rounding. Sums and differences have room up to 10^29; what
+is larger raises an error.
 """
 
 from __future__ import annotations
@@ -10,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STAGED = "decimal(18,8)"
-PUBLISHED = "decimal(38,8)"
+STAGED = PUBLISHED = "decimal(38,8)"
+# Two of these have an exact product, DECIMAL(37,16).
+NARROW = "decimal(18,8)"
+NARROW_SUM = "decimal(28,8)"
 # Room to add and subtract published numbers without losing the eighth decimal.
-EXACT = "decimal(28,8)"
+EXACT = "decimal(37,8)"
 # A sum of products that still divides with sixteen decimals.
 PRODUCT = "decimal(30,16)"
 
@@ -22,6 +27,30 @@ def published(value: Column) -> Column:
     return value.cast(PUBLISHED)
 
 
+def narrow_product(a: Column, b: Column) -> Column:
+    """Exact product of operands that fit NARROW, with sixteen decimals; NULL for others."""
+    return a.try_cast(NARROW) * b.try_cast(NARROW)
+
+
+def wide_product(a: Column, b: Column) -> Column:
+    """Product of operands of any size, with eight decimals."""
+    whole, part = "decimal(29,0)", "decimal(8,8)"
+
+    def parts(x: Column) -> tuple[Column, Column]:
+        cut = F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast(whole)
+        return cut, (x.cast(EXACT) - cut).cast(part)
+
+    (a1, a2), (b1, b2) = parts(a), parts(b)
+    # the first three have eight decimals at most, so only the last is rounded
+    terms = [(a1 * b1).cast(EXACT), (a1 * b2).cast(EXACT), (a2 * b1).cast(EXACT), (a2 * b2).cast(EXACT)]
+    return published(((terms[0] + terms[1]).cast(EXACT) + (terms[2] + terms[3]).cast(EXACT)))
+
+
+def product(a: Column, b: Column) -> Column:
+    """Published product."""
+    return F.coalesce(published(narrow_product(a, b)), wide_product(a, b))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """DOUBLE quotient; NULL for a zero or missing denominator."""
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
@@ -32,8 +61,13 @@ def difference(a: Column, b: Column) -> Column:
     return a.cast(EXACT) - b.cast(EXACT)
 
 
+def total(a: Column, b: Column) -> Column:
+    """``a + b`` of published decimals, exact."""
+    return a.cast(EXACT) + b.cast(EXACT)
+
+
 def quotient(
-    numerator: Column, denominator: Column, kind: str = STAGED, by: str = STAGED, scale: int = 1
+    numerator: Column, denominator: Column, kind: str = NARROW, by: str = NARROW, scale: int = 1
 ) -> Column:
     """Published ``scale * numerator / denominator``; NULL for a zero or missing denominator.
 

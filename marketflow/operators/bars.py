@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import EXACT, PRODUCT, published, quotient
+from marketflow.functions.numbers import NARROW_SUM, PRODUCT, narrow_product, published, quotient, total, wide_product
 from marketflow.functions.timecols import bucket
 
 
@@ -17,16 +17,19 @@ def bar_aggregates():
     per map task.
     """
     price, quantity, order = F.col("price"), F.col("quantity"), F.col("trade_id")
-    value = F.sum(price * quantity)
+    exact = narrow_product(price, quantity)
+    # rows too large for an exact product are added apart, rounded one by one
+    value, large = F.sum(exact), F.sum(F.when(exact.isNull(), wide_product(price, quantity)))
+    whole = F.coalesce(total(published(value), large), published(value), large)
     return [
         published(F.min_by(price, order)).alias("open"),
         published(F.max_by(price, order)).alias("close"),
         published(F.max(price)).alias("high"),
         published(F.min(price)).alias("low"),
         published(F.sum(quantity)).alias("volume"),
-        published(value).alias("quote_volume"),
+        published(whole).alias("quote_volume"),
         F.count(F.lit(1)).alias("trade_count"),
-        quotient(value, F.sum(quantity), PRODUCT, EXACT).alias("vwap"),
+        F.when(large.isNull(), quotient(value, F.sum(quantity), PRODUCT, NARROW_SUM)).otherwise(quotient(whole, F.sum(quantity))).alias("vwap"),
     ]
 
 

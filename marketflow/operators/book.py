@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import EXACT, PRODUCT, PUBLISHED, STAGED, published, quotient
+from marketflow.functions.numbers import EXACT, NARROW, NARROW_SUM, PRODUCT, PUBLISHED, STAGED, difference, published, quotient, total
 from marketflow.operators.trades import live_window
 
 
@@ -24,15 +24,16 @@ def book_agg(levels: DataFrame, keys: list[str], *extra: Column) -> DataFrame:
 
 
 def _total() -> Column:
-    return F.col("bid_vol") + F.col("ask_vol")
+    return total(F.col("bid_vol"), F.col("ask_vol"))
 
 
 def mid() -> Column:
-    return (F.col("best_bid") + F.col("best_ask")) / F.lit(2).cast("decimal(2,0)")
+    return total(F.col("best_bid"), F.col("best_ask")) / F.lit(2).cast("decimal(2,0)")
 
 
 def spread_bps() -> Column:
-    spread, twice_mid = F.col("best_ask") - F.col("best_bid"), F.col("best_bid") + F.col("best_ask")
+    spread = difference(F.col("best_ask"), F.col("best_bid"))
+    twice_mid = total(F.col("best_bid"), F.col("best_ask"))
     return quotient(spread, twice_mid, scale=20_000)
 
 
@@ -44,12 +45,12 @@ def microprice() -> Column:
     """Mid weighted towards the side with less volume."""
 
     def weighted(kind: str) -> Column:
-        return F.col("best_bid").cast(kind) * F.col("ask_vol").try_cast(kind) + F.col(
+        return F.col("best_bid").try_cast(kind) * F.col("ask_vol").try_cast(kind) + F.col(
             "best_ask"
-        ).cast(kind) * F.col("bid_vol").try_cast(kind)
+        ).try_cast(kind) * F.col("bid_vol").try_cast(kind)
 
     return F.coalesce(
-        quotient(weighted(STAGED), _total(), PRODUCT, EXACT), quotient(weighted("double"), _total())
+        quotient(weighted(NARROW), _total(), PRODUCT, NARROW_SUM), quotient(weighted("double"), _total())
     )
 
 

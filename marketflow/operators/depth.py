@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import STAGED
+from marketflow.functions.numbers import STAGED, product
 from marketflow.operators.trades import first_received, stream_symbol
 from marketflow.sources.messages import path
 
@@ -76,7 +76,7 @@ def enrich_levels(levels: DataFrame) -> DataFrame:
         "level",
         "price",
         "qty",
-        (F.col("price") * F.col("qty")).alias("notional"),
+        product(F.col("price"), F.col("qty")).alias("notional"),
         "last_update_id",
         "ingest_time",
     )

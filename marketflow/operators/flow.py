@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions import labels
-from marketflow.functions.numbers import EXACT, published
+from marketflow.functions.numbers import EXACT, difference, published
 from marketflow.functions.timecols import bucket, day
 from marketflow.operators.series import running_total
 
@@ -22,7 +22,7 @@ def taker_flow(trades: DataFrame, width: str = "1 minute") -> DataFrame:
         .agg(
             published(bought).alias("taker_buy"),
             published(sold).alias("taker_sell"),
-            published(bought - sold).alias("delta"),
+            published(difference(bought, sold)).alias("delta"),
         )
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions import labels
-from marketflow.functions.numbers import STAGED
+from marketflow.functions.numbers import STAGED, product
 from marketflow.functions.timecols import before, from_millis
 from marketflow.sources.messages import path
 
@@ -72,7 +72,7 @@ def enrich_trades(trades: DataFrame) -> DataFrame:
         "trade_id",
         "price",
         "quantity",
-        (F.col("price") * F.col("quantity")).alias("trade_value"),
+        product(F.col("price"), F.col("quantity")).alias("trade_value"),
         labels.taker_side(F.col("is_buyer_market_maker")).alias("taker_side"),
         "traded_at",
         "event_time",
