@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketflow.llm.common import stored
+
 #: Tokens on a line's path: the tree branches by token count, then by these.
 LEADING = 3
 #: Parts of the rest of a line, one of which may vary.
@@ -15,8 +17,16 @@ LEAST_TOKENS, LEAST_VARIABLE = 4, 8
 
 def masked(line: Column) -> Column:
     """A line with its tokens that hold a digit masked, and single spaces."""
-    variable = F.regexp_replace(line, r"(^|[ \t\r\f])[^ \t\r\f0-9]*+[0-9][^ \t\r\f]*+", "$1<*>")
-    return F.trim(F.regexp_replace(variable, r"[ \t\r\f]+", " "))
+    variable = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(^|[ \t\r\f])[^ \t\r\f0-9]*+[0-9][^ \t\r\f]*+", "$1<*>")).otherwise(line)
+    spaced = F.contains(line, F.lit("  "))
+    for blank in "\t\r\f":
+        spaced = spaced | F.contains(line, F.lit(blank))
+    return F.trim(F.when(spaced, F.regexp_replace(variable, r"[ \t\r\f]+", " ")).otherwise(variable))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, where the value is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _templates(tokens: Column) -> Column:
@@ -24,19 +34,27 @@ def _templates(tokens: Column) -> Column:
 
     The key holds the path (token count, leading tokens) and the constant tokens.
     The first template is the whole masked line. Each of the others leaves out one
-    of SEGMENTS parts behind the leading tokens, as a variable field.
+    of SEGMENTS parts behind the leading tokens, as a variable field. A token is
+    hashed once, in its part; keys are hashes of the parts' hashes.
     """
     n = F.size(tokens)
     rest = n - LEADING
     ends = [F.floor(rest * i / SEGMENTS).cast("int") + LEADING for i in range(SEGMENTS + 1)]
-    whole = F.xxhash64(n, F.lit(0), tokens)
-    varied = [F.xxhash64(n, F.lit(i + 1), F.slice(tokens, 1, ends[i]), F.slice(tokens, ends[i + 1] + 1, n - ends[i + 1])) for i in range(SEGMENTS)]
-    return F.when(n >= LEAST_VARIABLE, F.array(whole, *varied)).when(n >= LEAST_TOKENS, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
+    parts = [F.slice(tokens, 1, LEADING), *(F.slice(tokens, ends[i] + 1, ends[i + 1] - ends[i]) for i in range(SEGMENTS))]
+    hashed = F.struct(n.alias("n"), *(F.xxhash64(x).alias(f"p{i}") for i, x in enumerate(parts)))
+
+    def keys(h):
+        own = [h[f"p{i}"] for i in range(SEGMENTS + 1)]
+        return F.array(F.xxhash64(h["n"], F.lit(0), *own), *(F.xxhash64(h["n"], F.lit(i), *(own[:i] + own[i + 1 :])) for i in range(1, SEGMENTS + 1)))
+
+    whole = F.array(F.xxhash64(n, F.lit(0), tokens))
+    return F.when(n >= LEAST_VARIABLE, _let(hashed, keys)).when(n >= LEAST_TOKENS, whole).otherwise(F.array().cast("array<bigint>"))
 
 
 def _longest(tokens: Column) -> Column:
     """A line's longest token, the greatest of equals."""
-    return F.array_max(F.transform(tokens, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    most = F.array_max(F.transform(tokens, F.length))
+    return _let(most, lambda n: F.struct(n.alias("n"), F.array_max(F.filter(tokens, lambda w: F.length(w) == n)).alias("w")))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_min_docs: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,24 +81,29 @@ def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     base = docs.select(row, F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
-    lines = base.select("doc", F.transform(F.split("text", "\n", -1), lambda x: F.split(masked(x), " ")).alias("lines"))
-    keyed = lines.select("doc", F.transform("lines", lambda t: F.struct(_templates(t).alias("keys"), (F.size(t) >= long_tokens).alias("long"))).alias("lines"))
-
+    lines = base.filter("text IS NOT NULL").select("doc", F.transform(F.split("text", "\n", -1), lambda x: F.split(masked(x), " ")).alias("lines"))
     # the longest token of each line, the document's, and that of its other lines
-    most = lines.select("doc", "lines", F.transform("lines", lambda t, i: F.struct(_longest(t).alias("m"), i.alias("i"))).alias("m"))
+    most = lines.select(
+        "doc",
+        F.transform("lines", lambda t, i: F.struct(_longest(t).alias("m"), i.alias("i"))).alias("m"),
+        F.transform("lines", lambda t: F.struct(_templates(t).alias("keys"), (F.size(t) >= long_tokens).alias("long"))).alias("lines"),
+    )
     most = most.select("doc", "lines", F.array_max("m").alias("top"), "m")
     most = most.select("doc", "lines", "top", F.array_max(F.filter("m", lambda x: x["i"] != F.col("top.i"))).alias("second"))
+    contexts = F.struct("top.i", F.coalesce(F.xxhash64("top.m"), F.lit(0)).alias("top"), F.when(F.col("second").isNull(), 0).otherwise(F.xxhash64("second.m")).alias("second"))
+    # hashes of each document's lines, read twice below
+    hashed = stored(most.select("doc", contexts.alias("context"), "lines"), "line_keys")
 
-    def counted_keys(t, i):
-        context = F.coalesce(F.xxhash64(F.when(i == F.col("top.i"), F.col("second.m")).otherwise(F.col("top.m"))), F.lit(0).cast("bigint"))
-        return F.transform(_templates(t), lambda k: F.struct(k.alias("key"), (F.size(t) >= long_tokens).alias("long"), context.alias("context")))
+    def counted_keys(line, i):
+        context = F.when(i == F.col("context.i"), F.col("context.second")).otherwise(F.col("context.top"))
+        return F.transform(line["keys"], lambda k: F.struct(k.alias("key"), line["long"].alias("long"), context.alias("context")))
 
-    once = most.select("doc", F.explode(F.array_distinct(F.flatten(F.transform("lines", counted_keys)))).alias("k")).select("doc", "k.*")
+    once = hashed.select("doc", F.explode(F.array_distinct(F.flatten(F.transform("lines", counted_keys)))).alias("k")).select("doc", "k.*")
     by_context = once.groupBy("key", "long", "context").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
     counted = by_context.groupBy("key", "long").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n"), F.min("first").alias("first"))
     enough = (F.col("contexts") >= F.when(F.col("long"), long_min_docs).otherwise(min_docs)) & (F.col("contexts") * 4 >= F.col("n"))
     recurring = counted.filter(enough).select("key", "first")
-    placed = keyed.select("doc", F.posexplode("lines").alias("line", "x")).select("doc", "line", F.explode("x.keys").alias("key"))
+    placed = hashed.select("doc", F.posexplode("lines").alias("line", "x")).select("doc", "line", F.explode("x.keys").alias("key"))
     dropped = placed.join(recurring, "key").filter("doc != first").groupBy("doc").agg(F.collect_set("line").alias("gone"))
     joined = base.join(dropped, "doc", "left").select("row", "text", F.split("text", "\n", -1).alias("all"), "gone")
     places = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "gone")
