@@ -53,7 +53,7 @@ def train(bars: DataFrame) -> DataFrame:
 
 
 def score(bars: DataFrame, model: DataFrame, scored_at: datetime | Column) -> DataFrame:
-    """Forecast, bounds, flag and distance of each bar; unknown symbols are not scored."""
+    """Forecast, bounds, flag and distance of each bar; those of a symbol without a model have the flag alone, false."""
     whole = model.filter(F.col("hour").isNull()).select(
         "symbol", F.col("mean").alias("_mean"), F.col("deviation").alias("_deviation")
     )
@@ -63,7 +63,7 @@ def score(bars: DataFrame, model: DataFrame, scored_at: datetime | Column) -> Da
         bars.select("symbol", "minute", F.col("volume").cast("double").alias("volume"))
         .withColumn("hour", F.hour("minute"))
         .join(cells, ["symbol", "hour"], "left")
-        .join(whole, "symbol")
+        .join(whole, "symbol", "left")
     )
     fits = F.col("mean").isNotNull()
     sigma = F.nullif(F.when(fits, F.col("deviation")).otherwise(F.col("_deviation")), F.lit(0.0))

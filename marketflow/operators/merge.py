@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,13 +26,19 @@ def incremental_slice(
     return source.filter(F.col(time_col) >= edge)
 
 
+def same_key(keys: list[str], prefix: str = "_new_") -> Column:
+    """Equal keys, where a missing part equals a missing part."""
+    return reduce(and_, (F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys))
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``updates`` replace those with the same key, new keys are added, others stay.
 
     ``updates`` holds each key once. The target side is only filtered, never
     regrouped, and its rows travel on the merge keys.
     """
-    kept = target.join(updates.select(*keys), keys, "left_anti")
+    fresh = updates.select(*(F.col(k).alias(f"_new_{k}") for k in keys))
+    kept = target.join(fresh, same_key(keys), "left_anti")
     return kept.unionByName(updates.select(*target.columns))
 
 
@@ -89,10 +97,10 @@ def alert_edges(log: DataFrame, chunk: Column) -> DataFrame:
     chunk, one row, is the predecessor of the next chunk's first row.
     """
     keyed = log.withColumn("_chunk", chunk)
-    last = keyed.groupBy("metric", "_chunk").agg(F.max_by("status", "checked_at").alias("_last"))
+    last = keyed.groupBy("metric", "_chunk").agg(F.max_by("status", F.struct("checked_at", "status")).alias("_last"))
     chunks = Window.partitionBy("metric").orderBy("_chunk")
     carried = last.select("metric", "_chunk", F.lag("_last").over(chunks).alias("_carried"))
-    inside = Window.partitionBy("metric", "_chunk").orderBy("checked_at")
+    inside = Window.partitionBy("metric", "_chunk").orderBy("checked_at", "status")
     previous = F.coalesce(F.lag("status").over(inside), F.col("_carried"))
     marked = keyed.join(carried, ["metric", "_chunk"]).withColumn("_previous", previous)
     return marked.filter(~F.col("status").eqNullSafe(F.col("_previous"))).select(*log.columns)

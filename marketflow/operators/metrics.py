@@ -47,12 +47,12 @@ def is_volume_anomaly() -> Column:
     return F.coalesce(F.abs(zscore()) > ANOMALY_DEVIATIONS, F.lit(False))
 
 
-def _blocks(bars: DataFrame, bounded: bool, block_rows: int) -> DataFrame:
-    return in_blocks(numbered(bars, bounded), bounded, block_rows)
+def _blocks(bars: DataFrame, block_rows: int) -> DataFrame:
+    return in_blocks(numbered(bars), block_rows)
 
 
-def log_returns(bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    blocks = _blocks(bars.select("symbol", "minute", "close"), bounded, block_rows)
+def log_returns(bars: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    blocks = _blocks(bars.select("symbol", "minute", "close"), block_rows)
     delta = difference(F.col("close"), F.lag("close").over(block_window()))
     return own_rows(
         blocks.select(
@@ -61,15 +61,15 @@ def log_returns(bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_
     )
 
 
-def price_changes(bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    blocks = _blocks(bars.select("symbol", "minute", "close"), bounded, block_rows)
+def price_changes(bars: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    blocks = _blocks(bars.select("symbol", "minute", "close"), block_rows)
     changes = [change_pct(k).alias(f"price_change_pct_{k}min") for k in CHANGE_ROWS]
     return own_rows(blocks.select("symbol", "minute", "close", *changes, "_own"))
 
 
-def rolling_volume(bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def rolling_volume(bars: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rolling volume statistics with the z-score and the anomaly flag of the bar itself."""
-    blocks = _blocks(bars.select("symbol", "minute", "volume"), bounded, block_rows)
+    blocks = _blocks(bars.select("symbol", "minute", "volume"), block_rows)
     rolled = own_rows(blocks.select("symbol", "minute", "volume", *volume_statistics(), "_own"))
     return rolled.select(
         "*", zscore().alias("volume_zscore"), is_volume_anomaly().alias("is_volume_anomaly")
@@ -77,9 +77,9 @@ def rolling_volume(bars: DataFrame, bounded: bool = False, block_rows: int = BLO
 
 
 def realized_volatility(
-    bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS
+    bars: DataFrame, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    blocks = _blocks(bars.select("symbol", "minute", "close"), bounded, block_rows)
+    blocks = _blocks(bars.select("symbol", "minute", "close"), block_rows)
     returns = blocks.withColumn("log_return", log_return())
     frame = block_window().rowsBetween(-(VOLATILITY_ROWS - 1), 0)
     return own_rows(
@@ -92,13 +92,13 @@ def realized_volatility(
     )
 
 
-def market_metrics(bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def market_metrics(bars: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All metrics of a bar in one row.
 
     Every window shares the partitioning (symbol, block), so after the split
     into blocks the whole view is one shuffle.
     """
-    blocks = _blocks(bars.select("symbol", "minute", "close", "volume"), bounded, block_rows)
+    blocks = _blocks(bars.select("symbol", "minute", "close", "volume"), block_rows)
     returns = gains_losses(blocks.withColumn("_log_return", log_return()))
     volatility = block_window().rowsBetween(-(VOLATILITY_ROWS - 1), 0)
     rolled = own_rows(
@@ -109,7 +109,7 @@ def market_metrics(bars: DataFrame, bounded: bool = False, block_rows: int = BLO
             F.stddev_samp("_log_return").over(volatility).alias("_volatility"),
         )
     )
-    smoothed = wilder(rolled, bounded=bounded, block_rows=block_rows)
+    smoothed = wilder(rolled, block_rows=block_rows)
     return smoothed.select(
         "symbol",
         "minute",

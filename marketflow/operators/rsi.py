@@ -4,7 +4,7 @@ avg = (prev * 13 + x) / 14 is an affine step, and affine steps compose. Inside a
 block of rows the contribution of the block's own values is one running sum;
 the average at the end of the previous block then enters with the factor
 (13/14)^(rows since). Only the block ends, one row per 2048 bars, meet per
-symbol, and even there the frame is bounded: a factor that underflows to zero
+symbol, and even there the frame is limited: a factor that underflows to zero
 needs no row.
 """
 
@@ -30,8 +30,8 @@ def gains_losses(blocks: DataFrame) -> DataFrame:
     )
 
 
-def rsi_gains_losses(bars: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    split = gains_losses(in_blocks(numbered(bars, bounded), bounded, block_rows, halo=1))
+def rsi_gains_losses(bars: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    split = gains_losses(in_blocks(numbered(bars), block_rows, halo=1))
     return own_rows(split).select("symbol", "minute", "rn", "gain", "loss")
 
 
@@ -60,18 +60,18 @@ def rsi_value(avg_gain: Column, avg_loss: Column) -> Column:
     )
 
 
-def wilder(gl: DataFrame, n: int = 14, bounded: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def wilder(gl: DataFrame, n: int = 14, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Smoothed ``avg_gain`` and ``avg_loss`` per row from row ``n + 1`` on; NULL before.
 
     Input: the own rows of ``gains_losses`` with ``_block``.
     """
     keep = (n - 1) / n
-    if not bounded and block_rows < n + 1:
+    if block_rows < n + 1:
         raise ValueError("the seed must lie in the first block")
 
     inside = block_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("symbol", "_block")
-    position = F.col("rn") - 1 if bounded else (F.col("rn") - 1) % block_rows
+    position = (F.col("rn") - 1) % block_rows
     seeding = F.col("rn").between(2, n + 1)
 
     def smoothed(name: str) -> list[Column]:
@@ -92,40 +92,37 @@ def wilder(gl: DataFrame, n: int = 14, bounded: bool = False, block_rows: int =
     def from_seed(name: str) -> Column:
         return F.when(seeded, F.col(f"_own_{name}") + since_seed * F.col(f"_seed_{name}"))
 
-    if bounded:
-        averages = {name: from_seed(name) for name in ("gain", "loss")}
-    else:
-        ends = (
-            rows.filter(F.col("_pos") == block_rows - 1)
-            .select(
-                "symbol",
-                (F.col("_block") + 1).alias("_block"),
-                *[
-                    F.coalesce(from_seed(name), F.col(f"_own_{name}")).alias(f"_end_{name}")
-                    for name in ("gain", "loss")
-                ],
-            )
+    ends = (
+        rows.filter(F.col("_pos") == block_rows - 1)
+        .select(
+            "symbol",
+            (F.col("_block") + 1).alias("_block"),
+            *[
+                F.coalesce(from_seed(name), F.col(f"_own_{name}")).alias(f"_end_{name}")
+                for name in ("gain", "loss")
+            ],
         )
-        # keep^(block_rows * d) is exactly zero in DOUBLE beyond this distance
-        reach = math.ceil(-1080 * math.log(2) / (block_rows * math.log(keep)))
-        earlier = Window.partitionBy("symbol").orderBy("_block").rowsBetween(-reach, 0)
-
-        def carried(name: str) -> Column:
-            recent_ends = F.collect_list(f"_end_{name}").over(earlier)
-            decay = math.pow(keep, block_rows)
-            return F.aggregate(recent_ends, F.lit(0.0), lambda acc, end: acc * decay + end).alias(
-                f"_carry_{name}"
-            )
-
-        carry = ends.select("symbol", "_block", carried("gain"), carried("loss"))
-        rows = rows.join(carry, ["symbol", "_block"], "left")
-        since_block = F.pow(F.lit(keep), F.col("_pos") + 1)
-        averages = {
-            name: F.coalesce(
-                from_seed(name), F.col(f"_own_{name}") + since_block * F.col(f"_carry_{name}")
-            )
-            for name in ("gain", "loss")
-        }
+    )
+    # keep^(block_rows * d) is exactly zero in DOUBLE beyond this distance
+    reach = math.ceil(-1080 * math.log(2) / (block_rows * math.log(keep)))
+    earlier = Window.partitionBy("symbol").orderBy("_block").rowsBetween(-reach, 0)
+
+    def carried(name: str) -> Column:
+        recent_ends = F.collect_list(f"_end_{name}").over(earlier)
+        decay = math.pow(keep, block_rows)
+        return F.aggregate(recent_ends, F.lit(0.0), lambda acc, end: acc * decay + end).alias(
+            f"_carry_{name}"
+        )
+
+    carry = ends.select("symbol", "_block", carried("gain"), carried("loss"))
+    rows = rows.join(carry, ["symbol", "_block"], "left")
+    since_block = F.pow(F.lit(keep), F.col("_pos") + 1)
+    averages = {
+        name: F.coalesce(
+            from_seed(name), F.col(f"_own_{name}") + since_block * F.col(f"_carry_{name}")
+        )
+        for name in ("gain", "loss")
+    }
     ready = F.col("rn") > n
     return rows.select(
         *[c for c in gl.columns if c != "_block"],
@@ -135,11 +132,11 @@ def wilder(gl: DataFrame, n: int = 14, bounded: bool = False, block_rows: int =
 
 
 def rsi_wilder(
-    bars: DataFrame, n: int = 14, bounded: bool = False, block_rows: int = BLOCK_ROWS
+    bars: DataFrame, n: int = 14, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Per bar: the smoothed averages and the index, NULL during the first ``n`` bars."""
-    gl = own_rows(gains_losses(in_blocks(numbered(bars, bounded), bounded, block_rows, halo=1)))
-    averaged = wilder(gl, n, bounded, block_rows)
+    gl = own_rows(gains_losses(in_blocks(numbered(bars), block_rows, halo=1)))
+    averaged = wilder(gl, n, block_rows)
     return averaged.select(
         "symbol",
         "minute",

@@ -4,9 +4,6 @@ A window partitioned by symbol has as many tasks as there are symbols. Here a
 series is numbered exactly and cut into blocks of consecutive rows; each block
 carries a copy of the few rows before it (its halo), which is all that lags and
 sliding frames look at. Windows then run per (symbol, block).
-
-A short series - a live window holds at most one row per minute of the window -
-needs no cutting: ``bounded=True`` keeps it in one block.
 """
 
 from __future__ import annotations
@@ -57,21 +54,13 @@ def running_total(
     )
 
 
-def numbered(df: DataFrame, bounded: bool = False) -> DataFrame:
+def numbered(df: DataFrame) -> DataFrame:
     """``rn``: the exact position of the row in its symbol's series, from 1."""
-    if bounded:
-        return df.withColumn(
-            "rn", F.row_number().over(Window.partitionBy("symbol").orderBy("minute")).cast("bigint")
-        )
     return running_total(df, ["symbol"], "minute", day(F.col("minute")), F.lit(1), "rn")
 
 
-def in_blocks(
-    series: DataFrame, bounded: bool = False, block_rows: int = BLOCK_ROWS, halo: int = HALO_ROWS
-) -> DataFrame:
+def in_blocks(series: DataFrame, block_rows: int = BLOCK_ROWS, halo: int = HALO_ROWS) -> DataFrame:
     """Adds ``_block`` and ``_own``; rows near a block's end appear again in the next one's halo."""
-    if bounded:
-        return series.withColumn("_block", F.lit(0).cast("bigint")).withColumn("_own", F.lit(True))
     if halo > block_rows:
         raise ValueError("the halo must fit into one block")
     block = F.expr(f"(rn - 1) div {block_rows}")

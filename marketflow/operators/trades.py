@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketflow.functions import labels
 from marketflow.functions.numbers import STAGED, product
-from marketflow.functions.timecols import before, from_millis
+from marketflow.functions.timecols import at, before, from_millis
 from marketflow.sources.messages import path
 
 
@@ -48,15 +48,18 @@ def stg_trades(
     raw: DataFrame,
     extra: dict[str, tuple[str, str]] | None = None,
     traded_since: datetime | Column | None = None,
+    traded_until: datetime | Column | None = None,
 ) -> DataFrame:
     """Flattened trades, first received copy per (symbol, trade_id).
 
-    ``traded_since`` narrows the input before the dedup: copies of a trade share
+    ``traded_since`` and ``traded_until`` narrow the input before the dedup: copies of a trade share
     their trade time, so the result is that of filtering afterwards.
     """
     flat = flatten_trades(raw, extra)
     if traded_since is not None:
         flat = flat.filter(F.col("traded_at") >= traded_since)
+    if traded_until is not None:
+        flat = flat.filter(F.col("traded_at") <= traded_until)
     # the payload after the receipt time decides ties, so reruns agree
     tie_break = ["ingest_time", "traded_at", "event_time", "price", "quantity", "is_buyer_market_maker"]
     unique = first_received(flat, ["symbol", "trade_id"], tie_break)
@@ -84,5 +87,5 @@ def enrich_trades(trades: DataFrame) -> DataFrame:
 def live_window(
     df: DataFrame, time_col: str, as_of: datetime | Column, minutes: int = 120
 ) -> DataFrame:
-    """Rows of the last ``minutes`` before ``as_of``; the lower edge is not bucket-aligned."""
-    return df.filter(F.col(time_col) >= before(as_of, minutes=minutes))
+    """Rows of the last ``minutes`` up to ``as_of``; the edges are not bucket-aligned."""
+    return df.filter((F.col(time_col) >= before(as_of, minutes=minutes)) & (F.col(time_col) <= at(as_of)))

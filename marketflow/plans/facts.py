@@ -7,6 +7,8 @@ the touched partitions.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from marketflow.operators.book import orderbook_snapshots
 from marketflow.operators.depth import enrich_levels, unique_depth_levels
 from marketflow.operators.merge import incremental_slice, upsert, upsert_first
 from marketflow.operators.trades import enrich_trades, stg_trades
-from marketflow.sources.tables import exists, insert_first, read_table, upsert_table
+from marketflow.sources.tables import exists, insert_first, newest, upsert_table
 
 LEVEL_KEYS = ["symbol", "last_update_id", "side", "level"]
 ID_RANGE = 10_000_000
@@ -39,14 +41,17 @@ def fct_orderbook_snapshots(raw_depth: DataFrame) -> DataFrame:
 
 
 def incremental_trades(target: DataFrame, raw_trades: DataFrame, minutes: int = 5) -> DataFrame:
-    """The dedup sees all raw rows before the slice, and of two copies the earlier stays."""
-    recent = incremental_slice(fct_trades(raw_trades), target, "ingest_time", "ingest_time", minutes)
+    """The slice comes before the dedup; of a stored and a new copy the earlier stays.
+
+    A copy older than the slice that was never stored stays out.
+    """
+    recent = fct_trades(incremental_slice(raw_trades, target, "ingest_time", "ingest_time", minutes))
     return upsert_first(target, recent, ["trade_uid"], ["ingest_time"])
 
 
 def incremental_depth(target: DataFrame, raw_depth: DataFrame, minutes: int = 5) -> DataFrame:
-    recent = incremental_slice(
-        fct_depth_snapshots(raw_depth), target, "ingest_time", "ingest_time", minutes
+    recent = fct_depth_snapshots(
+        incremental_slice(raw_depth, target, "ingest_time", "ingest_time", minutes)
     )
     return upsert_first(target, recent, LEVEL_KEYS, ["ingest_time"])
 
@@ -57,14 +62,29 @@ def incremental_bars(target: DataFrame, trades: DataFrame, minutes: int = 5) ->
     return upsert(target, ohlcv(recent), ["symbol", "minute"])
 
 
+def _since(df: DataFrame, time_col: str, path: str, partition: str, target_time: str, minutes: int) -> DataFrame:
+    """Rows from ``minutes`` before the newest row of the table on.
+
+    The newest time is read from the last partition and goes into the plan as a
+    literal, so that the filter reaches the scan.
+    """
+    spark = df.sparkSession
+    last = newest(spark, path, partition, target_time) if exists(spark, path) else None
+    if last is None:
+        return df
+    return df.filter(F.col(time_col) >= F.lit(last - timedelta(minutes=minutes)).cast("timestamp_ntz"))
+
+
 def refresh_trades_table(raw_trades: DataFrame, path: str, minutes: int = 5) -> None:
-    """One incremental build of the trades table, by trade date."""
-    rows = fct_trades(raw_trades)
-    spark = rows.sparkSession
-    if exists(spark, path):
-        rows = incremental_slice(rows, read_table(spark, path), "ingest_time", "ingest_time", minutes)
-    dated = rows.withColumn("trade_date", F.to_date("traded_at"))
-    insert_first(dated, path, ["trade_uid"], "trade_date")
+    """One incremental build of the trades table, by trade date.
+
+    Only raw rows received since are read and deduplicated. The partition is a
+    function of the trade, so a copy with another trade time counts as another
+    day's row; ``quality`` finds such ids.
+    """
+    recent = _since(raw_trades, "ingest_time", path, "trade_date", "ingest_time", minutes)
+    dated = fct_trades(recent).withColumn("trade_date", F.to_date("traded_at"))
+    insert_first(dated, path, ["symbol", "trade_id"], "trade_date")
 
 
 def refresh_depth_table(raw_depth: DataFrame, path: str, minutes: int = 5) -> None:
@@ -73,18 +93,13 @@ def refresh_depth_table(raw_depth: DataFrame, path: str, minutes: int = 5) -> No
     Partitioned by ranges of the snapshot id: a copy received on another day
     still meets its first version.
     """
-    rows = fct_depth_snapshots(raw_depth)
-    spark = rows.sparkSession
-    if exists(spark, path):
-        rows = incremental_slice(rows, read_table(spark, path), "ingest_time", "ingest_time", minutes)
-    ranged = rows.withColumn("id_range", F.floor(F.col("last_update_id") / ID_RANGE))
+    recent = _since(raw_depth, "ingest_time", path, "id_range", "ingest_time", minutes)
+    ranged = fct_depth_snapshots(recent).withColumn("id_range", F.floor(F.col("last_update_id") / ID_RANGE))
     insert_first(ranged, path, LEVEL_KEYS, "id_range")
 
 
 def refresh_bars_table(trades: DataFrame, path: str, minutes: int = 5) -> None:
     """One incremental build of the minute bars, by date."""
-    spark = trades.sparkSession
-    if exists(spark, path):
-        trades = incremental_slice(trades, read_table(spark, path), "traded_at", "minute", minutes)
-    dated = ohlcv(trades).withColumn("bar_date", F.to_date("minute"))
+    recent = _since(trades, "traded_at", path, "bar_date", "minute", minutes)
+    dated = ohlcv(recent).withColumn("bar_date", F.to_date("minute"))
     upsert_table(dated, path, ["symbol", "minute"], "bar_date")

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions import labels
-from marketflow.functions.timecols import before
+from marketflow.functions.timecols import at, before
 from marketflow.operators.bars import ohlcv
 from marketflow.operators.metrics import latest_per_symbol, market_metrics
-from marketflow.operators.series import BLOCK_ROWS
 from marketflow.operators.trades import live_window, stg_trades
 
 LIVE_MINUTES = 120
@@ -21,7 +20,7 @@ def raw_live_trades(
     raw_trades: DataFrame, as_of: datetime | Column, minutes: int = LIVE_MINUTES
 ) -> DataFrame:
     """Deduplicated trades of the window. The window is applied before the dedup."""
-    return stg_trades(raw_trades, traded_since=before(as_of, minutes=minutes))
+    return stg_trades(raw_trades, traded_since=before(as_of, minutes=minutes), traded_until=at(as_of))
 
 
 def ohlcv_live(trades: DataFrame, as_of: datetime | Column, minutes: int = LIVE_MINUTES) -> DataFrame:
@@ -31,8 +30,8 @@ def ohlcv_live(trades: DataFrame, as_of: datetime | Column, minutes: int = LIVE_
 def market_metrics_live(
     trades: DataFrame, as_of: datetime | Column, minutes: int = LIVE_MINUTES
 ) -> DataFrame:
-    """Metrics over the bars of the window; a short window has few bars and needs no blocks."""
-    return market_metrics(ohlcv_live(trades, as_of, minutes), bounded=minutes < BLOCK_ROWS)
+    """Metrics over the bars of the window."""
+    return market_metrics(ohlcv_live(trades, as_of, minutes))
 
 
 def kpi_strip(bars: DataFrame, metrics: DataFrame, books: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.operators.merge import upsert
+from marketflow.operators.merge import same_key, upsert
 
 
 def _path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
@@ -63,51 +63,84 @@ def _write(df: DataFrame, path: str, partition: str) -> None:
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish a publication that an earlier job left behind; drop one that is incomplete."""
-    pending = _pending(path)
-    if exists(spark, pending + "/_SUCCESS"):
-        staged = spark.read.parquet(pending)
-        _write(staged, path, _partition_of(spark, pending))
-    _delete(spark, pending)
-
-
-def _partition_of(spark: SparkSession, path: str) -> str:
-    fs, location = _path(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(location) if status.isDirectory()]
-    return next(name.split("=", 1)[0] for name in names if "=" in name)
+    """Finish a publication or rebuild that an earlier job left behind; drop one that is incomplete."""
+    if exists(spark, _next(path) + "/_SUCCESS"):
+        _switch(spark, path)
+    _delete(spark, _next(path))
+    if exists(spark, _pending(path) + "/_SUCCESS"):
+        _move(spark, path)
+    _delete(spark, _pending(path))
+
+
+def _move(spark: SparkSession, path: str) -> None:
+    """Put each staged partition in the place of the table's; what was moved before a job died is not there any more."""
+    fs, location = _path(spark, _pending(path))
+    for status in fs.listStatus(location):
+        if status.isDirectory() and "=" in status.getPath().getName():
+            _, target = _path(spark, f"{path.rstrip('/')}/{status.getPath().getName()}")
+            fs.delete(target, True)
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"cannot move {status.getPath()} to {target}")
 
 
 def _publish(df: DataFrame, path: str, partition: str) -> None:
-    spark, pending = df.sparkSession, _pending(path)
+    spark = df.sparkSession
     df.hint("rebalance", partition).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
-    ).partitionBy(partition).parquet(pending)
-    staged = spark.read.schema(df.schema).parquet(pending)
-    _write(staged, path, partition)
-    _delete(spark, pending)
+    ).partitionBy(partition).parquet(_pending(path))
+    _move(spark, path)
+    _delete(spark, _pending(path))
+
+
+def _next(path: str) -> str:
+    return path.rstrip("/") + "__next"
+
+
+def _switch(spark: SparkSession, path: str) -> None:
+    fs, location = _path(spark, path)
+    fs.delete(location, True)
+    _, fresh = _path(spark, _next(path))
+    if not fs.rename(fresh, location):
+        raise OSError(f"cannot move {fresh} to {location}")
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The table; while a rebuild is being switched in, its complete new version."""
+    if not exists(spark, path) and exists(spark, _next(path) + "/_SUCCESS"):
+        path = _next(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
 def rebuild(df: DataFrame, path: str, time_col: str | None = None, allow_shrink: bool = False) -> None:
-    """Replace the whole table by ``df``, which must not read from it.
+    """Replace the whole table by ``df``.
 
-    With ``time_col`` a rebuild is refused when it would lose older history than
-    ``df`` reaches back to.
+    The new version is complete before the old one goes. With ``time_col`` a rebuild
+    is refused when it would lose older history than ``df`` reaches back to.
     """
     spark = df.sparkSession
+    recover(spark, path)
     if time_col and not allow_shrink and exists(spark, path):
         old = spark.read.parquet(path).agg(F.min(time_col)).first()[0]
         new = df.agg(F.min(time_col)).first()[0]
         if old is not None and (new is None or new > old):
             raise ValueError(f"rebuild of {path} would drop rows before {new}")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_next(path))
+    _switch(spark, path)
+
+
+def newest(spark: SparkSession, path: str, partition: str, time_col: str):
+    """The greatest time in the table's last partition, the only one that is read; None if there is none."""
+    fs, location = _path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(location) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{partition}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")]
+    if not values:
+        return read_table(spark, path).agg(F.max(time_col)).first()[0]
+    last = max(values, key=lambda v: (not v.startswith("-"), len(v), v))
+    return read_table(spark, path).filter(F.col(partition).cast("string") == last).agg(F.max(time_col)).first()[0]
 
 
-def _affected(updates: DataFrame, path: str, partition: str) -> DataFrame:
+def affected(updates: DataFrame, path: str, partition: str) -> DataFrame:
     """The stored rows in partitions that have updates; no other partition is read.
 
     The partition values of the updates, one per day or range, go into the plan
@@ -116,7 +149,8 @@ def _affected(updates: DataFrame, path: str, partition: str) -> DataFrame:
     """
     touched = [row[0] for row in updates.select(partition).distinct().collect()]
     target = read_table(updates.sparkSession, path, updates.schema)
-    return target.filter(F.col(partition).isin(touched))
+    wanted = F.col(partition).isin([value for value in touched if value is not None])
+    return target.filter(wanted | F.col(partition).isNull() if None in touched else wanted)
 
 
 def upsert_table(updates: DataFrame, path: str, keys: list[str], partition: str) -> None:
@@ -124,7 +158,8 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], partition: str)
 
     ``partition`` names a column of ``updates`` that is a function of the keys
     (a date of the key's time, a range of its id), so all versions of a row lie
-    in one partition. ``updates`` must hold each key once.
+    in one partition. ``updates`` must hold each key once; missing parts of a key
+    are equal to one another, and a missing partition is one like any other.
     """
     spark = updates.sparkSession
     recover(spark, path)
@@ -132,7 +167,7 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], partition: str)
         _write(updates, path, partition)
         return
     with _kept(updates):
-        merged = upsert(_affected(updates, path, partition), updates, keys)
+        merged = upsert(affected(updates, path, partition), updates, keys)
         _publish(merged.select(*updates.columns), path, partition)
 
 
@@ -144,7 +179,8 @@ def insert_first(
     Usually the stored version is the first: then only rows with new keys are
     appended and nothing is rewritten. A partition is rewritten only when an
     earlier version of a stored row turns up. ``updates`` must hold each key
-    once; ``partition`` is a function of the keys.
+    once; ``partition`` is a function of the keys. Missing parts of a key are equal
+    to one another.
     """
     spark = updates.sparkSession
     recover(spark, path)
@@ -152,19 +188,18 @@ def insert_first(
         _write(updates, path, partition)
         return
     with _kept(updates):
-        affected = _affected(updates, path, partition)
-        stored = affected.select(*keys, F.col(order).alias("_stored"))
-        earlier = updates.join(stored, keys).filter(F.col(order) < F.col("_stored")).drop("_stored")
-        earlier = earlier.select(*updates.columns)
-        if not earlier.isEmpty():
-            with _kept(earlier):
-                merged = upsert(_affected(earlier, path, partition), earlier, keys)
+        known = affected(updates, path, partition).select(
+            *(F.col(k).alias(f"_new_{k}") for k in keys), F.struct(F.col(order).alias("at")).alias("_stored")
+        )
+        # one look at the stored keys tells both what is new and what came earlier
+        with _kept(updates.join(known, same_key(keys), "left").select(*updates.columns, "_stored")) as met:
+            earlier = met.filter(F.col(order) < F.col("_stored.at")).select(*updates.columns)
+            fresh = met.filter("_stored IS NULL").select(*updates.columns)
+            # a repeated job finds what it has already appended among the known keys
+            fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
+            if not earlier.isEmpty():
+                merged = upsert(affected(earlier, path, partition), earlier, keys)
                 _publish(merged.select(*updates.columns), path, partition)
-            affected = _affected(updates, path, partition)
-        known = affected.select(*keys)
-        fresh = updates.join(known, keys, "left_anti").select(*updates.columns)
-        # a repeated job finds what it has already appended among the known keys
-        fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:

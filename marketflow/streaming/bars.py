@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketflow.operators.bars import bar_aggregates, ohlcv
 from marketflow.operators.trades import enrich_trades, flatten_trades, stg_trades
-from marketflow.sources.tables import insert_first, read_table, upsert_table
+from marketflow.sources.tables import affected, insert_first, upsert_table
 
 
 def _unique(raw: DataFrame, delay: str) -> DataFrame:
@@ -59,17 +61,21 @@ def maintain_facts(
     """
 
     def store(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
         trades = (
             enrich_trades(stg_trades(batch))
             .withColumn("trade_date", F.to_date("traded_at"))
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         try:
-            insert_first(trades, trades_path, ["trade_uid"], "trade_date")
+            insert_first(trades, trades_path, ["symbol", "trade_id"], "trade_date")
             minute = F.date_trunc("minute", "traded_at")
             touched = trades.select("symbol", "trade_date", minute.alias("_minute")).distinct()
-            stored = read_table(spark, trades_path, trades.schema).withColumn("_minute", minute)
+            # the batch's days and its span of minutes reach the scan, the join picks the minutes
+            low, high = trades.agg(F.min(minute), F.max(minute)).first()
+            stored = affected(trades, trades_path, "trade_date").withColumn("_minute", minute)
+            if low is not None:
+                after = F.lit(high + timedelta(minutes=1)).cast("timestamp_ntz")
+                stored = stored.filter((F.col("traded_at") >= F.lit(low).cast("timestamp_ntz")) & (F.col("traded_at") < after))
             whole = stored.join(touched, ["symbol", "trade_date", "_minute"], "left_semi")
             bars = ohlcv(whole).withColumn("bar_date", F.to_date("minute"))
             upsert_table(bars, bars_path, ["symbol", "minute"], "bar_date")

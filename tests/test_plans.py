@@ -50,7 +50,7 @@ def test_upsert_reads_only_touched_partitions(spark, out):
     stg = REGISTRY["stg_trades"](spark, SF).withColumn("d", F.to_date("traded_at"))
     tables.insert_first(stg, out, ["trade_uid"], "d")
     some = stg.filter(F.col("traded_at").between("2024-01-05", "2024-01-06"))
-    affected = tables._affected(some, out, "d")
+    affected = tables.affected(some, out, "d")
     assert re.search(r"PartitionFilters: \[.*2024-01-05", formatted(affected))
     assert {str(r.d) for r in affected.select("d").distinct().collect()} == {"2024-01-05"}
 

@@ -82,7 +82,7 @@ def test_numbering_is_row_number(frame, walks):
 
 def test_blocks_give_what_one_window_per_symbol_gives(frame):
     blocked = metrics.market_metrics(frame, block_rows=64).collect()
-    whole = metrics.market_metrics(frame, bounded=True).collect()
+    whole = metrics.market_metrics(frame).collect()
 
     left = sorted((tuple(r) for r in blocked), key=lambda row: row[:2])
     right = sorted((tuple(r) for r in whole), key=lambda row: row[:2])

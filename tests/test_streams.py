@@ -128,7 +128,7 @@ def test_rsi_over_three_batches(spark, tmp_path):
     with stream_settings(spark):
         stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(path)
         got = stored_stream(stream_rsi.stream_rsi(stream), "rsi").orderBy("symbol", "rn").collect()
-    want = rsi_wilder(bars, bounded=True).orderBy("symbol", "rn").collect()
+    want = rsi_wilder(bars).orderBy("symbol", "rn").collect()
     assert [(r.symbol, r.minute, r.rn) for r in got] == [(r.symbol, r.minute, r.rn) for r in want]
     for have, expected in zip(got, want):
         assert (have.rsi_14 is None) == (expected.rsi_14 is None)

@@ -162,3 +162,48 @@ def test_incremental_slice_of_an_empty_target_is_everything(spark):
     empty = source.filter("false")
     assert merge.incremental_slice(source, empty, "ingest_time", "ingest_time").count() == 2
     assert merge.incremental_slice(source, source, "ingest_time", "ingest_time").count() == 1
+
+
+def test_missing_partitions_and_keys_are_neither_lost_nor_doubled(spark, out):
+    schema = "k INT, v STRING, ingest_time TIMESTAMP_NTZ, d DATE"
+    day = date(2026, 6, 1)
+    made = lambda *items: spark.createDataFrame([(k, v, NOON + timedelta(seconds=s), d) for k, v, s, d in items], schema)
+    tables.upsert_table(made((1, "a", 0, day), (2, "b", 0, None), (None, "c", 0, None)), out, ["k"], "d")
+    for _ in range(2):
+        tables.upsert_table(made((2, "B", 1, None)), out, ["k"], "d")
+    assert sorted(r.v for r in tables.read_table(spark, out).collect()) == ["B", "a", "c"]
+    for _ in range(3):
+        tables.insert_first(made((None, "later", 5, None), (3, "d", 5, None)), out, ["k"], "d")
+    assert sorted(r.v for r in tables.read_table(spark, out).collect()) == ["B", "a", "c", "d"]
+    tables.insert_first(made((None, "first", -9, None), (4, "f", 1, None)), out, ["k"], "d")
+    assert sorted(r.v for r in tables.read_table(spark, out).collect()) == ["B", "a", "d", "f", "first"]
+
+
+def test_a_rebuild_that_died_while_switching_is_completed(spark, out):
+    tables.rebuild(rows(spark, (1, "a", 0)), out)
+    rows(spark, (2, "b", 0)).write.parquet(tables._next(out))
+    tables._delete(spark, out)
+    assert content(spark, out) == [(2, "b")]  # readers see the complete new version
+    tables.recover(spark, out)
+    assert content(spark, out) == [(2, "b")] and not tables.exists(spark, tables._next(out))
+    rows(spark, (3, "half", 0)).write.parquet(tables._next(out))
+    tables._delete(spark, tables._next(out) + "/_SUCCESS")
+    tables.rebuild(rows(spark, (4, "d", 0)), out)
+    assert content(spark, out) == [(4, "d")]
+
+
+def test_an_empty_publication_is_no_obstacle(spark, out):
+    tables.upsert_table(rows(spark, (1, "a", 0)), out, ["k"], "d")
+    spark.createDataFrame([], SCHEMA).write.partitionBy("d").parquet(tables._pending(out))
+    tables.upsert_table(rows(spark, (2, "b", 0)), out, ["k"], "d")
+    assert content(spark, out) == [(1, "a"), (2, "b")]
+
+
+def test_incremental_builds_read_what_is_new(spark, out, tmp_path):
+    first = [(trade_json("A", i, "1", "1", NOON + timedelta(hours=i)), NOON + timedelta(hours=i)) for i in range(30)]
+    facts.refresh_trades_table(raw(spark, first), out)
+    assert tables.newest(spark, out, "trade_date", "ingest_time") == NOON + timedelta(hours=29)
+    source = str(tmp_path / "raw")
+    raw(spark, first).write.parquet(source)
+    recent = facts._since(spark.read.parquet(source), "ingest_time", out, "trade_date", "ingest_time", 5)
+    assert recent.count() == 1 and "GreaterThanOrEqual(ingest_time" in recent._jdf.queryExecution().executedPlan().toString()
