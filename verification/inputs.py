@@ -29,6 +29,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if splits < cores else df
 
 
+def trade_text(
+    suffix: str, symbol: Column, trade_id: Column, ms: Column, price: Column, qty: Column, maker: Column, unknown: Column
+) -> Column:
+    """A trade message as JSON text; ``unknown`` is a key that no baseline has."""
+    data = {"e": F.lit("trade"), "E": ms, "s": F.upper(symbol), "t": trade_id, "p": price, "q": qty, "T": ms, "m": maker, "M": F.lit(True), "xs": unknown}
+    return F.to_json(
+        F.struct(
+            F.concat(F.lower(symbol), F.lit(suffix)).alias("stream"),
+            F.struct(*(value.alias(key) for key, value in data.items())).alias("data"),
+        )
+    )
+
+
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade messages as JSON text: originals, repeats, malformed text, other streams."""
     events = spread(table(spark, sf_dir, "events"))
@@ -44,23 +57,8 @@ def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid = F.col("event_id")
 
     def text(suffix: str) -> Column:
-        return F.to_json(
-            F.struct(
-                F.concat(F.lower("event_type"), F.lit(suffix)).alias("stream"),
-                F.struct(
-                    F.lit("trade").alias("e"),
-                    F.col("ms").alias("E"),
-                    F.upper("event_type").alias("s"),
-                    eid.alias("t"),
-                    F.col("price").alias("p"),
-                    F.col("qty").alias("q"),
-                    F.col("ms").alias("T"),
-                    F.col("maker").alias("m"),
-                    F.lit(True).alias("M"),
-                    F.when(eid % 500 == 3, F.lit(0.42).cast("decimal(3,2)")).alias("xs"),
-                ).alias("data"),
-            )
-        )
+        unknown = F.when(eid % 500 == 3, F.lit(0.42).cast("decimal(3,2)"))
+        return trade_text(suffix, F.col("event_type"), eid, F.col("ms"), F.col("price"), F.col("qty"), F.col("maker"), unknown)
 
     received = F.col("ms") + 50 + eid % 200 + F.when(eid % 50 == 7, 600 * SECOND).otherwise(0)
 

@@ -49,6 +49,8 @@ REGISTRY: dict[str, Query] = {}
 CUT = datetime(2024, 1, 20)
 CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
 DAY = 1440
+# The events are sparse: two days have about as many bars as two hours of a busy feed.
+VIEW_MINUTES = 2880
 MONTH = 43_200
 
 
@@ -234,23 +236,27 @@ def known_keys_seed(spark, sf):
     )
 
 
-# Fixed value: the trade id by which the injected message is found again.
-SENTINEL_ID = 999000111
-SENTINEL = (
-    '{"stream":"click@trade","data":{"e":"trade","E":1706745600000,"s":"CLICK","t":%d,'
-    '"p":"12.50","q":"3.0","T":1706745600000,"m":true,"M":true,"xs":0.17}}' % SENTINEL_ID
-)
+# The id by which the injected message is found again; no event has it.
+SENTINEL_ID = -7
+
+
+def with_sentinel(spark, sf) -> DataFrame:
+    """The raw trades and one message more, with a key that the baseline lacks."""
+    lit = F.lit
+    text = inputs.trade_text("@trade", lit("view"), lit(SENTINEL_ID), lit(1_706_800_000_000), lit("101.25"), lit("4.5"), lit(False), lit(0.5).cast("decimal(2,1)"))
+    message = spark.range(1).select(text.alias("text")).first()["text"]
+    return msg.append_message(inputs.raw_trades(spark, sf), message, datetime(2024, 2, 1))
 
 
 @query
 def drift_inject(spark, sf):
-    raw = msg.append_message(inputs.raw_trades(spark, sf), SENTINEL, datetime(2024, 2, 1))
+    raw = with_sentinel(spark, sf)
     return plain(drift.new_keys(drift.key_profile(raw, "RAW_TRADES"), drift.known_keys(spark)))
 
 
 @query
 def drift_cleanup(spark, sf):
-    raw = msg.append_message(inputs.raw_trades(spark, sf), SENTINEL, datetime(2024, 2, 1))
+    raw = with_sentinel(spark, sf)
     left = msg.delete_where(raw, msg.path("data.t", "bigint") == SENTINEL_ID)
     return drift.new_keys(drift.key_profile(left, "RAW_TRADES"), drift.known_keys(spark))
 
@@ -437,6 +443,15 @@ def market_metrics_live(spark, sf):
     return plain(hour_metrics(spark, sf), *METRIC_COLUMNS)
 
 
+@query
+def market_view_live(spark, sf):
+    """The live view itself: the window on raw messages, its minute bars, their metrics."""
+    raw = inputs.raw_trades(spark, sf)
+    as_of = latest(trade_ops.flatten_trades(raw), "traded_at")
+    window = stored(live.raw_live_trades(raw, as_of, VIEW_MINUTES), "window")
+    return plain(live.market_metrics_live(window, as_of, VIEW_MINUTES), *METRIC_COLUMNS)
+
+
 @query
 def latest_metrics(spark, sf):
     last = metrics.latest_per_symbol(hour_metrics(spark, sf))
@@ -470,9 +485,10 @@ def cross_perf(spark, sf):
 
 @query
 def cross_perf_grid(spark, sf):
-    """The pivoted grid over the declared symbols; a column that never traded stays NULL."""
-    performance = metrics.cross_performance(minute_table(spark, sf))
-    names = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+    """The pivoted grid over all symbols that traded."""
+    bars = minute_table(spark, sf)
+    performance = metrics.cross_performance(bars)
+    names = [row.symbol for row in bar_ops.symbols(bars).collect()]
     wide = correlation.cross_grid(performance, names)
     return plain(wide.select("minute", *[F.col(n).alias(n.lower()) for n in names]), *map(str.lower, names))
 
@@ -546,17 +562,12 @@ def depth_within_bps(spark, sf):
 def kpi_strip(spark, sf):
     """Trades and books have different symbols here; the strip pairs them one to one, in order."""
     lv = levels_table(spark, sf)
-    pairs = F.create_map(
-        *[
-            F.lit(x)
-            for pair in zip(
-                ["PRI1", "PRI2", "PRI3", "PRI4", "PRI5"], ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
-            )
-            for x in pair
-        ]
-    )
-    live_books = book.orderbook_live(lv, last_ingest(lv), MONTH).withColumn("symbol", pairs[F.col("symbol")])
     bars = hour_table(spark, sf)
+    traded = [r.symbol for r in bar_ops.symbols(bars).collect()]
+    quoted = [r.symbol for r in bar_ops.symbols(lv).collect()]
+    pairs = spark.createDataFrame(list(zip(traded, quoted)), "symbol string, quoted string")
+    live_books = book.orderbook_live(lv, last_ingest(lv), MONTH).withColumnRenamed("symbol", "quoted")
+    live_books = live_books.join(pairs, "quoted").drop("quoted")
     strip = live.kpi_strip(bars, metrics.market_metrics(bars), live_books)
     return plain(strip, *METRIC_COLUMNS)
 
@@ -891,10 +902,11 @@ def drift_log(spark, sf):
 
 @query
 def drift_closed(spark, sf):
-    found = drift.new_keys(_profiles(spark, sf), drift.known_keys(spark))
+    profiles = stored(_profiles(spark, sf), "profiles")
+    found = drift.new_keys(profiles, drift.known_keys(spark))
     confirmed = found.select("source_table", F.col("new_key").alias("key_name")).distinct()
     baseline = drift.known_keys(spark).unionByName(confirmed)
-    left = drift.new_keys(_profiles(spark, sf), baseline)
+    left = drift.new_keys(profiles, baseline)
     return left.agg(F.count(F.lit(1)).alias("still_reported")).select(
         "still_reported", baseline.agg(F.count(F.lit(1))).scalar().alias("known_keys")
     )
@@ -904,15 +916,16 @@ def drift_closed(spark, sf):
 def schema_drift_report(spark, sf):
     """Against a baseline where the price was a number, `t` was called `id`, and `xs` unknown."""
     names = {"p": "DECIMAL"}
+    profiles = stored(_profiles(spark, sf), "profiles")
     seen = drift.known_keys(spark).join(
-        _profiles(spark, sf).select("source_table", "key_name", "value_type"), ["source_table", "key_name"]
+        profiles.select("source_table", "key_name", "value_type"), ["source_table", "key_name"]
     )
     typed = seen.select(
         "source_table",
         F.when(F.col("key_name") == "t", "id").otherwise(F.col("key_name")).alias("key_name"),
         F.when(F.col("key_name") == "p", names["p"]).otherwise(F.col("value_type")).alias("value_type"),
     )
-    return drift.drift_report(_profiles(spark, sf), typed)
+    return drift.drift_report(profiles, typed)
 
 
 @query
@@ -1117,9 +1130,10 @@ def stream_orderbook(spark, sf):
 
 @query
 def stream_rsi(spark, sf):
+    """Three runs of one stream, each over the bars closed since the run before."""
     with stream_settings(spark):
-        path = work_dir(spark, "closed_bars")
-        bars = hour_bars(spark, sf).select("symbol", "minute", "close")
+        path, out, checkpoint = (work_dir(spark, n) for n in ("closed_bars", "rsi", "rsi_checkpoint"))
+        bars = hour_table(spark, sf).select("symbol", "minute", "close")
         edges = [None, *CUTS, None]
         for low, high in zip(edges, edges[1:]):
             part = bars
@@ -1127,9 +1141,8 @@ def stream_rsi(spark, sf):
                 part = part.filter(F.col("minute") >= lit_ntz(low))
             if high is not None:
                 part = part.filter(F.col("minute") < lit_ntz(high))
-            part.coalesce(1).write.mode("append").parquet(path)
-        stream = (
-            spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(path)
-        )
-        stored = stored_stream(stream_rsi_ops.stream_rsi(stream), "rsi")
-    return plain(stored, "avg_gain", "avg_loss", "rsi_14")
+            part.write.mode("append").parquet(path)
+            found = stream_rsi_ops.stream_rsi(spark.readStream.schema(bars.schema).parquet(path))
+            run = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            run.trigger(availableNow=True).start().awaitTermination()
+    return plain(spark.read.schema(found.schema).parquet(out), "avg_gain", "avg_loss", "rsi_14")
