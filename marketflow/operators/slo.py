@@ -147,8 +147,12 @@ def raw_extent(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def hourly_rollup(usage: DataFrame, ts: str, amount: str) -> DataFrame:
-    """Amount per hour, newest hour first."""
+def hourly_rollup(
+    usage: DataFrame, ts: str, amount: str, as_of: datetime | Column | None = None, hours: int = 24
+) -> DataFrame:
+    """Amount per hour of the last ``hours`` up to ``as_of`` (of all without it), newest hour first."""
+    if as_of is not None:
+        usage = usage.filter((F.col(ts) >= before(as_of, hours=hours)) & (F.col(ts) <= at(as_of)))
     return (
         usage.groupBy(hour_of(F.col(ts)).alias("hour"))
         .agg(F.round(F.sum(amount), 4).alias("amount"))

@@ -209,16 +209,26 @@ def append(df: DataFrame, path: str) -> None:
 def append_batch(df: DataFrame, path: str, batch_id: int, unit: str = "day") -> None:
     """Append a streaming batch; writing the same batch again replaces it.
 
-    Rows lie by receipt date (or its month or year), so retention removes whole folders.
+    Rows lie by receipt date (or its month or year), so retention removes whole
+    folders, and their number doesn't grow with that of the batches. The batch is
+    written beside the table; its files are then moved into the folders of their
+    dates under names that begin with the batch, where an earlier attempt's go first.
     """
-    (
-        df.withColumn("ingest_date", F.to_date(F.date_trunc(unit, "ingest_time")))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_date", "batch_id")
-        .parquet(path)
-    )
+    spark, staged, prefix = df.sparkSession, path.rstrip("/") + "__batch", f"batch-{batch_id}-"
+    dated = df.withColumn("ingest_date", F.to_date(F.date_trunc(unit, "ingest_time")))
+    dated.hint("rebalance", "ingest_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("ingest_date").parquet(staged)
+    fs, location = _path(spark, staged)
+    for day in [s.getPath() for s in fs.listStatus(location) if s.isDirectory() and "=" in s.getPath().getName()]:
+        _, folder = _path(spark, f"{path.rstrip('/')}/{day.getName()}")
+        fs.mkdirs(folder)
+        for old in [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(prefix)]:
+            fs.delete(old, False)
+        for number, part in enumerate(s.getPath() for s in fs.listStatus(day)):
+            if not fs.rename(part, _path(spark, f"{folder}/{prefix}{number:05d}.parquet")[1]):
+                raise OSError(f"cannot move {part} to {folder}")
+    _delete(spark, staged)
 
 
 def _drop_dates(spark: SparkSession, path: str, partition: str, wanted) -> None:

@@ -112,6 +112,8 @@ def test_a_repeated_batch_is_stored_once(spark, out):
     tables.append_batch(batch, out, 1)
     tables.append_batch(batch, out, 1)
     assert tables.read_table(spark, out).count() == 4
+    fs, location = tables._path(spark, out)
+    assert [s.getPath().getName() for s in fs.listStatus(location)] == [f"ingest_date={NOON.date()}"]
 
 
 def test_trades_table_keeps_the_first_copy_over_builds(spark, out):

@@ -689,7 +689,8 @@ def raw_extent(spark, sf):
 
 @query
 def hourly_usage(spark, sf):
-    return slo.hourly_rollup(inputs.table(spark, sf, "events"), "ts", "value")
+    events = inputs.table(spark, sf, "events")
+    return slo.hourly_rollup(events, "ts", "value", latest(events, "ts"))
 
 
 @query
