@@ -80,7 +80,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_
     Empty table: no rows.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    base = docs.select(row, F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    base = docs.select(F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").alias("text"))
     lines = base.filter("text IS NOT NULL").select("doc", F.transform(F.split("text", "\n", -1), lambda x: F.split(masked(x), " ")).alias("lines"))
     # the longest token of each line, the document's, and that of its other lines
     most = lines.select(
@@ -105,7 +105,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_
     recurring = counted.filter(enough).select("key", "first")
     placed = hashed.select("doc", F.posexplode("lines").alias("line", "x")).select("doc", "line", F.explode("x.keys").alias("key"))
     dropped = placed.join(recurring, "key").filter("doc != first").groupBy("doc").agg(F.collect_set("line").alias("gone"))
-    joined = base.join(dropped, "doc", "left").select("row", "text", F.split("text", "\n", -1).alias("all"), "gone")
+    # each text travels once, inside its row
+    whole = docs.select(row, F.col(f"`{id}`").alias("doc")).join(dropped, "doc", "left").withColumn("text", F.col(f"row.`{text}`"))
+    joined = whole.select("row", "text", F.split("text", "\n", -1).alias("all"), "gone")
     places = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "gone")
     clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(places, lambda i: F.get(F.col("all"), i)), "\n"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("all"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -288,7 +289,7 @@ def near_copies(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "digest", "fp", "keys"])
 
     texts = F.coalesce(F.col(text), F.lit(""))
-    ids = docs.select(F.col(id).cast("bigint").alias("doc_id"), texts.alias("text"), F.md5(F.lower(F.trim(F.regexp_replace(texts, r"[ \t\n\x0B\f\r]+", " ")))).alias("digest"))
+    ids = docs.select(F.col(id).cast("bigint").alias("doc_id"), texts.alias("text"), F.md5(F.trim(F.regexp_replace(F.translate(texts, string.ascii_uppercase, string.ascii_lowercase), r"[ \t\n\x0B\f\r]+", " "))).alias("digest"))
     found = stored(ids.mapInArrow(run, "doc_id bigint, digest string, fp bigint, keys array<bigint>"), "copies")
     distinct = stored(found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys")).filter("first IS NOT NULL"), "copies_distinct")
 
