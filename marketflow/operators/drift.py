@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.functions.timecols import before
+from marketflow.functions.timecols import at, before
 
 # The keys of both message kinds that staging maps or ignores on purpose.
 KNOWN_KEYS = {
@@ -57,7 +57,8 @@ def key_profile(
 ) -> DataFrame:
     """Occurrences per (key, type) in the last hours, or overall without ``as_of``."""
     if as_of is not None:
-        raw = raw.filter(F.col("ingest_time") >= before(as_of, hours=hours))
+        received = F.col("ingest_time")
+        raw = raw.filter((received >= before(as_of, hours=hours)) & (received <= at(as_of)))
     return (
         flatten_keys(raw)
         .groupBy("key_name", value_type(F.col("value")).alias("value_type"))

@@ -21,7 +21,8 @@ from marketflow.operators.percentile import percentile_cont
 
 
 def recent(df: DataFrame, as_of: datetime | Column, minutes: int) -> DataFrame:
-    return df.filter(F.col("ingest_time") >= before(as_of, minutes=minutes))
+    received = F.col("ingest_time")
+    return df.filter((received >= before(as_of, minutes=minutes)) & (received <= at(as_of)))
 
 
 def latency(trades: DataFrame, as_of: datetime | Column, minutes: int = 5) -> DataFrame:

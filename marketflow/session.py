@@ -32,6 +32,16 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="marketflow-")
 
 
+_made: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders that ``work_dir`` named so far; call it when their readers are done."""
+    while _made:
+        location = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one job, below the folder shared by all executors.
 
@@ -44,4 +54,5 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = _local_dir()
-    return os.path.join(shared, f"{name}-{uuid.uuid4().hex[:12]}")
+    _made.append(os.path.join(shared, f"{name}-{uuid.uuid4().hex[:12]}"))
+    return _made[-1]

@@ -348,8 +348,9 @@ def ohlcv_1h(spark, sf):
 
 @query
 def ohlcv_1min_live(spark, sf):
-    stg = trades_table(spark, sf)
-    return plain(live.ohlcv_live(stg, latest(stg, "traded_at")))
+    raw = inputs.raw_trades(spark, sf)
+    as_of = latest(trade_ops.flatten_trades(raw), "traded_at")
+    return plain(live.ohlcv_live(live.raw_live_trades(raw, as_of), as_of))
 
 
 @query
