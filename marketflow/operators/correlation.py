@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions.numbers import ratio
@@ -29,9 +29,16 @@ def grid(series: DataFrame) -> DataFrame:
 def grid_returns(performance: DataFrame) -> DataFrame:
     """Log returns between neighbouring slots; a missing minute leaves out two of them."""
     rows = grid(performance).select("symbol", "slot", "minute", "perf_100")
-    previous = rows.select("symbol", (F.col("slot") + 1).alias("slot"), F.col("perf_100").alias("_prev"))
-    # unique keys on both sides: the join spreads evenly whatever the symbol
-    return rows.join(previous, ["symbol", "slot"]).select(
+    # a block of slots begins with a copy of the last row before it
+    block = F.floor(F.col("slot") / GRID_BLOCK)
+    edge = F.col("slot") % GRID_BLOCK == GRID_BLOCK - 1
+    blocks = F.when(edge, F.array(block, block + 1)).otherwise(F.array(block))
+    before = Window.partitionBy("symbol", "_block").orderBy("slot")
+    paired = rows.select("*", block.alias("_own"), F.explode(blocks).alias("_block")).select(
+        "*", F.lag("slot").over(before).alias("_slot"), F.lag("perf_100").over(before).alias("_prev")
+    )
+    neighbours = (F.col("_own") == F.col("_block")) & (F.col("_slot") == F.col("slot") - 1)
+    return paired.filter(neighbours).select(
         "symbol", "slot", "minute", F.ln(ratio(F.col("perf_100"), F.col("_prev"))).alias("log_return")
     )
 
@@ -46,7 +53,8 @@ def return_correlation(performance: DataFrame) -> DataFrame:
 
     A block of slots is a matrix slots x symbols; its products with itself give
     the sums of all pairs at once, so pairs leave a block as one row each and
-    are never formed per minute.
+    are never formed per minute. Only one of (a, b) and (b, a) does; the other is
+    read off the sums at the end.
     """
     schema = "symbol_a string, symbol_b string, n double, sa double, sb double, saa double, sbb double, sab double"
 
@@ -67,9 +75,9 @@ def return_correlation(performance: DataFrame) -> DataFrame:
             "sbb": known.T @ square,
             "sab": value.T @ value,
         }
-        size = len(names)
-        out = {"symbol_a": np.repeat(names, size), "symbol_b": np.tile(names, size)}
-        out.update({name: matrix.ravel() for name, matrix in pairs.items()})
+        upper = np.triu_indices(len(names))
+        out = {"symbol_a": names[upper[0]], "symbol_b": names[upper[1]]}
+        out.update({name: matrix[upper] for name, matrix in pairs.items()})
         frame = pd.DataFrame(out)
         return frame[frame["n"] > 0]
 
@@ -88,9 +96,11 @@ def return_correlation(performance: DataFrame) -> DataFrame:
     spread_a = F.col("saa") - F.col("sa") * F.col("sa") / n
     spread_b = F.col("sbb") - F.col("sb") * F.col("sb") / n
     scale = F.sqrt(F.greatest(spread_a, F.lit(0.0)) * F.greatest(spread_b, F.lit(0.0)))
-    return sums.select(
-        "symbol_a",
-        "symbol_b",
+    a, b = F.col("symbol_a"), F.col("symbol_b")
+    one, other = F.struct(a, b), F.struct(b.alias("symbol_a"), a.alias("symbol_b"))
+    half = sums.select(
+        F.explode(F.when(a == b, F.array(one)).otherwise(F.array(one, other))).alias("pair"),
         n.cast("bigint").alias("common"),
         F.when(n > 1, F.round(covariance / F.nullif(scale, F.lit(0.0)), 2)).alias("correlation"),
     )
+    return half.select("pair.symbol_a", "pair.symbol_b", "common", "correlation")
