@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions.numbers import EXACT, NARROW, NARROW_SUM, PRODUCT, PUBLISHED, STAGED, difference, published, quotient, total
@@ -108,11 +108,11 @@ def message_snapshots(messages: DataFrame) -> DataFrame:
 def latest_levels(levels: DataFrame) -> DataFrame:
     """The levels of each symbol's newest snapshot.
 
-    The newest id is an aggregate joined back, so the levels of a symbol need
-    not meet in one task.
+    Spark turns the rank into a group limit before the shuffle: each task passes
+    on the levels of the newest snapshot it has seen, and they are read once.
     """
-    newest = levels.groupBy("symbol").agg(F.max("last_update_id").alias("last_update_id"))
-    return levels.join(newest, ["symbol", "last_update_id"], "left_semi")
+    newest = Window.partitionBy("symbol").orderBy(F.col("last_update_id").desc())
+    return levels.withColumn("_rank", F.rank().over(newest)).filter("_rank = 1 AND last_update_id IS NOT NULL").drop("_rank")
 
 
 def orderbook_live(levels: DataFrame, as_of: datetime | Column, minutes: int = 120) -> DataFrame:
@@ -155,7 +155,16 @@ def crossed_books(books: DataFrame) -> DataFrame:
 def depth_within(levels: DataFrame, bps: float) -> DataFrame:
     """Volume of each side within ``bps`` of the mid, per snapshot."""
     keys = ["symbol", "last_update_id"]
-    middle = book_agg(levels, keys).select(*keys, mid().cast("double").alias("_mid"))
+    snapshot = Window.partitionBy(*keys)
+    bid, ask = F.col("side") == "bid", F.col("side") == "ask"
+    priced = levels.select(
+        *keys,
+        "side",
+        "price",
+        "qty",
+        F.max(F.when(bid, F.col("price"))).over(snapshot).alias("best_bid"),
+        F.min(F.when(ask, F.col("price"))).over(snapshot).alias("best_ask"),
+    ).withColumn("_mid", mid().cast("double"))
     price, reach = F.col("price").cast("double"), F.col("_mid") * bps / 10000
     # rounding keeps levels that lie exactly on the edge
     near = F.round(F.abs(price - F.col("_mid")) - reach, 9) <= 0
@@ -164,7 +173,6 @@ def depth_within(levels: DataFrame, bps: float) -> DataFrame:
         return F.sum(F.when((F.col("side") == side) & near, F.col("qty")).otherwise(0)).cast(PUBLISHED)
 
     return (
-        levels.join(middle, keys)
-        .groupBy(*keys)
+        priced.groupBy(*keys)
         .agg(volume("bid").alias("bid_depth"), volume("ask").alias("ask_depth"))
     )
