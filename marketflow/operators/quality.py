@@ -115,6 +115,18 @@ def row_report(df: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame
     return df.agg(F.array(*counted).alias("_rules")).select(F.inline("_rules")).withColumn("status", status)
 
 
+def column_rules(
+    table: str, required: list[str], accepted: dict[str, list[str]] | None = None, severity: str = "error"
+) -> list[tuple[str, str, Column]]:
+    """Rules for ``row_report``: columns that may not be NULL, and values that a column may have."""
+    present = [(f"{table}: {c} present", severity, F.col(c).isNull()) for c in required]
+    known = [
+        (f"{table}: {c} accepted", severity, F.col(c).isNotNull() & ~F.col(c).isin(values))
+        for c, values in (accepted or {}).items()
+    ]
+    return present + known
+
+
 def failing_rows(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
     """(check, severity, row as JSON) of all violating rows, to be appended to a table of failures."""
     found = None

@@ -842,24 +842,46 @@ def dq_rsi_range(spark, sf):
     )
 
 
+# Columns that may not be missing, by table.
+REQUIRED = {
+    "trades": "trade_uid symbol trade_id price quantity trade_value taker_side traded_at event_time is_buyer_market_maker ingest_time".split(),
+    "bars": "symbol minute open high low close volume quote_volume trade_count vwap".split(),
+    "levels": "symbol side level price qty last_update_id ingest_time".split(),
+    "books": "symbol last_update_id ingest_time best_bid best_ask mid spread_bps imbalance".split(),
+}
+
+
 @query
 def dq_report(spark, sf):
+    """All checks of all layers: the row rules of a table in one pass over it, keys by one aggregate each."""
     raw, deep = inputs.raw_trades(spark, sf), inputs.raw_depth(spark, sf)
-    stg = stored(trade_ops.stg_trades(raw), "trades")
+    stg = stored(trade_ops.enrich_trades(trade_ops.stg_trades(raw)), "trades")
     bars = stored(bar_ops.ohlcv(stg), "bars_1min")
     lv = stored(depth.unique_depth_levels(deep), "levels")
-    return quality.report(
-        [
-            ("trades positive", "error", stg.filter(quality.trades_not_positive())),
-            ("trades unique", "error", quality.duplicate_keys(stg, ["trade_uid"])),
-            ("raw trades unique", "warn", quality.duplicate_keys(
-                trade_ops.flatten_trades(raw), ["symbol", "trade_id"])),
-            ("bars invariants", "error", bars.filter(quality.ohlc_broken())),
-            ("bars unique", "error", quality.duplicate_keys(bars, ["symbol", "minute"])),
-            ("levels in range", "error", lv.filter(quality.levels_out_of_range())),
-            ("books invariants", "error", book.orderbook_snapshots(lv).filter(quality.book_broken())),
-        ]
-    )
+    live_bars = live.ohlcv_live(stg, latest(stg, "traded_at"))
+    live_books = book.orderbook_live(lv, last_ingest(lv), MONTH)
+    rows = [
+        (stg, quality.column_rules("trades", REQUIRED["trades"], {"taker_side": ["buy", "sell"]})
+         + [("trades positive", "error", quality.trades_not_positive(with_value=True))]),
+        (bars, quality.column_rules("bars", REQUIRED["bars"]) + [("bars invariants", "error", quality.ohlc_broken())]),
+        (lv, quality.column_rules("levels", REQUIRED["levels"], {"side": ["bid", "ask"]})
+         + [("levels in range", "error", quality.levels_out_of_range())]),
+        (book.orderbook_snapshots(lv), quality.column_rules("books", REQUIRED["books"])
+         + [("books invariants", "error", quality.book_broken())]),
+        (live_bars, [("live bars invariants", "error", quality.ohlc_broken())]),
+        (live_books, [("live books invariants", "error", quality.book_broken(live=True))]),
+    ]
+    keys = [
+        ("trades unique", "error", quality.duplicate_keys(stg, ["trade_uid"])),
+        ("raw trades unique", "warn", quality.duplicate_keys(trade_ops.flatten_trades(raw), ["symbol", "trade_id"])),
+        ("bars unique", "error", quality.duplicate_keys(bars, ["symbol", "minute"])),
+        ("levels unique", "error", quality.duplicate_keys(lv, ["symbol", "last_update_id", "side", "level"])),
+        ("live bars unique", "error", quality.duplicate_keys(live_bars, ["symbol", "minute"])),
+    ]
+    found = quality.report(keys)
+    for df, rules in rows:
+        found = found.unionByName(quality.row_report(df, rules))
+    return found
 
 
 @query
