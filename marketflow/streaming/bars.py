@@ -21,7 +21,10 @@ def _unique(raw: DataFrame, delay: str) -> DataFrame:
 
 
 def unique_trades(raw: DataFrame, delay: str = "15 minutes") -> DataFrame:
-    """First copy of each trade. State is dropped once the watermark has passed a trade by ``delay``."""
+    """One copy of each trade, of the first micro-batch that has it; of copies inside a batch any one.
+
+    State is dropped once the watermark has passed a trade by ``delay``.
+    """
     return _unique(raw, delay).drop("_event")
 
 
