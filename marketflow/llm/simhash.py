@@ -18,6 +18,8 @@ from marketflow.llm.components import connected
 LEAF = 96
 #: Matches held before they are reduced to a forest.
 PAIRS = 1_000_000
+#: Tokens of sets that are compared with one set at once.
+TOKENS = 1 << 22
 
 
 def shingle_hashes(text: str | None, words: int = 3) -> np.ndarray:
@@ -242,12 +244,12 @@ def near_duplicates(docs: DataFrame, slack: int = 2, words: int = 3, shard_point
     return found.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def _describe(text: str | None, words: int, keys: int) -> tuple[int, bytes]:
-    """SimHash of the word shingles, and the ``keys`` least distinct shingle hashes."""
+def _describe(text: str | None, words: int, keys: int) -> tuple[int, bytes, int]:
+    """SimHash of the word shingles, the ``keys`` least distinct shingle hashes, and how many shingles there are."""
     hashes = shingle_hashes(text, words)
     if not len(hashes):
-        return 0, b""
-    return majority(hashes), np.unique(hashes)[:keys].tobytes()
+        return 0, b"", 0
+    return majority(hashes), np.unique(hashes)[:keys].tobytes(), len(hashes)
 
 
 def near_copies(
@@ -256,8 +258,8 @@ def near_copies(
     similarity: float = 0.8,
     slack: int = 18,
     keys: int = 6,
-    forests: int = 4,
     shard_points: int = 4000,
+    shard_shingles: int = 4_000_000,
     id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -268,13 +270,18 @@ def near_copies(
     whole table. So the space is parted by content first: a text visits a shard
     for each of its ``keys`` least shingle hashes (texts as like as this share one
     with a probability of over 1 - 0.2^6). Inside a shard a vantage-point tree
-    finds all fingerprints within ``slack`` and keeps ``forests`` forests of them,
-    closest links first. Each of these links is then checked on the shingles (as
-    32-bit hashes) of the whole texts.
+    finds all fingerprints within ``slack``; a spanning forest of them tells the
+    groups outside of which nothing can be alike. A group then gets the shingles
+    (as 32-bit hashes) of its whole texts, each once, and every pair within
+    ``slack`` that isn't linked yet is checked on them: links are thinned to a
+    forest only after they were checked.
 
     Copies are one text. A key of over ``shard_points`` texts is dealt to
-    several shards, each of which also gets the key's first text. Links are as
-    many as texts, keys and forests at most, never all pairs of a group.
+    several shards, each of which also gets the key's first text. A group of over
+    ``shard_points`` texts or ``shard_shingles`` shingles is dealt to parts; then
+    each text outside the largest component that the parts hold together is
+    sought in all other parts. Links are as many as texts and parts at most, never
+    all pairs of a group.
 
     Null text is empty; texts without words are copies of one another. A null
     doc_id takes part and never names a component. Repeated rows come out as often
@@ -284,14 +291,15 @@ def near_copies(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [_describe(t.as_py(), words, keys) for t in batch.column(1)]
-            fp = np.array([f for f, _ in got], np.uint64).view(np.int64)
-            low = [np.frombuffer(b, np.int64).tolist() for _, b in got]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "digest", "fp", "keys"])
+            fp = np.array([f for f, _, _ in got], np.uint64).view(np.int64)
+            low = [np.frombuffer(b, np.int64).tolist() for _, b, _ in got]
+            size = pa.array([n for _, _, n in got], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp, pa.int64()), pa.array(low, pa.list_(pa.int64())), size], names=["doc_id", "digest", "fp", "keys", "size"])
 
     texts = F.coalesce(F.col(text), F.lit(""))
     ids = docs.select(F.col(id).cast("bigint").alias("doc_id"), texts.alias("text"), F.md5(F.trim(F.regexp_replace(F.translate(texts, string.ascii_uppercase, string.ascii_lowercase), r"[ \t\n\x0B\f\r]+", " "))).alias("digest"))
-    found = stored(ids.mapInArrow(run, "doc_id bigint, digest string, fp bigint, keys array<bigint>"), "copies")
-    distinct = stored(found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys")).filter("first IS NOT NULL"), "copies_distinct")
+    found = stored(ids.mapInArrow(run, "doc_id bigint, digest string, fp bigint, keys array<bigint>, size bigint"), "copies")
+    distinct = stored(found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("size").alias("size")).filter("first IS NOT NULL"), "copies_distinct")
 
     placed = distinct.select("first", "fp", F.explode("keys").alias("key"))
     shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "fp")).alias("head")).filter("n > 1")
@@ -302,26 +310,117 @@ def near_copies(
 
     def links(table: pa.Table) -> pa.Table:
         first, fp = table["first"].to_numpy(), table["fp"].to_numpy().view(np.uint64)
-        a, b = closest_forests(fp, slack, forests)
+        a, b = closest_forests(fp, slack, 1)
         return pa.table({"a": pa.array(first[a], pa.int64()), "b": pa.array(first[b], pa.int64())})
 
     candidates = stored(own.union(heads).groupBy("key", "part").applyInArrow(links, "a bigint, b bigint").filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "copies_candidates")
 
+    groups = connected(candidates)
+    members = distinct.join(groups, distinct["first"] == groups["node"]).select(F.col("root").alias("group"), F.col("first").alias("id"), "fp", "size")
+    members = stored(members.groupBy("group", "id").agg(F.min("fp").alias("fp"), F.max("size").alias("size")), "copies_members")
+
+    def in_parts(rows: DataFrame) -> DataFrame:
+        # how many parts the rows of each group make
+        return rows.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / shard_points), F.ceil(F.sum("size") / shard_shingles)).alias("parts"))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).view(np.int32) for t in batch.column(1)], pa.list_(pa.int32()))], names=["id", "set"])
-
-    wanted = candidates.select(F.col("a").alias("id")).union(candidates.select(F.col("b").alias("id"))).distinct()
-    whole = ids.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, set array<int>")
-    whole = stored(whole.dropDuplicates(["id"]), "copies_sets")
-    pairs = candidates.join(whole.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(whole.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    good = pairs.filter(both >= similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
+            made = pa.array([np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).view(np.int32) for t in batch.column(4)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], made], names=["group", "id", "fp", "part", "set"])
+
+    placed = members.join(in_parts(members), "group").withColumn("part", F.pmod(F.xxhash64("id", "group"), F.col("parts")))
+    whole = ids.join(placed, ids["doc_id"] == placed["id"]).dropDuplicates(["doc_id"]).select("group", "id", "fp", "part", "text")
+    whole = stored(whole.mapInArrow(sets, "group bigint, id bigint, fp bigint, part bigint, set array<int>"), "copies_sets")
+
+    def alike(table: pa.Table, across: bool = False) -> pa.Table:
+        ids, lists = table["id"].to_numpy(), table["set"].combine_chunks()
+        _, start, component = np.unique(table["component"].to_numpy(), return_index=True, return_inverse=True)
+        home = table["home"].to_numpy()
+        asks = ~home if across else home
+        a, b = alike_forest(table["fp"].to_numpy().view(np.uint64), lists.flatten().to_numpy(), lists.value_lengths().to_numpy(), home, asks, start[component], slack, similarity)
+        return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
+
+    sought = whole.select("group", "part", "id", "fp", "set", F.col("id").alias("component"), F.lit(True).alias("home"))
+    good = stored(sought.groupBy("group", "part").applyInArrow(lambda t: alike(t), "a bigint, b bigint"), "copies_links")
+
+    # groups of several parts: what isn't in the largest component so far is sought in the other parts
+    hot = in_parts(members).filter("parts > 1")
+    if not hot.isEmpty():
+        linked = connected(good)
+        rows = members.join(hot, "group").join(linked, members["id"] == linked["node"], "left").select("group", "parts", "id", "size", F.coalesce("root", "id").alias("component"))
+        rows = stored(rows, "copies_hot")
+        most = rows.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("most"))
+        rest = rows.join(most, "group").filter("component != most").select("group", "parts", "id", "size", "component")
+        blocks = in_parts(rest).withColumnRenamed("parts", "blocks")
+        near = whole.join(rows.select("id", "component"), "id").join(blocks, "group")
+        near = near.select("group", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), "id", "fp", "set", "component", F.lit(True).alias("home"))
+        far = whole.join(rest.select("id", "parts", "component"), "id").join(blocks, "group")
+        far = far.select("group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("to"), F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).alias("block"), "id", "fp", "set", "component", F.lit(False).alias("home"), "part")
+        far = far.filter("to != part").drop("part").withColumnRenamed("to", "part").select(near.columns)
+        across = near.union(far).groupBy("group", "part", "block").applyInArrow(lambda t: alike(t, across=True), "a bigint, b bigint")
+        good = good.union(across)
     roots = connected(good)
     of = distinct.join(roots, distinct["first"] == roots["node"], "left").select("digest", F.coalesce("root", "first").alias("component_id"))
     return found.join(of, "digest", "left").select("doc_id", "component_id")
 
 
+def alike_forest(
+    fp: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, home: np.ndarray, asks: np.ndarray, up: np.ndarray, slack: int, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """A forest (node, root) of all pairs within ``slack`` whose sets have the Jaccard likeness, as indices.
+
+    ``tokens`` holds the sets one after another, ``sizes`` how long each is. Of a
+    pair one node ``asks`` and one is at ``home``. Nodes of one ``up`` are linked
+    already; a pair is compared only while it isn't linked.
+    """
+    n, given = len(fp), up
+    # tokens of one set alone are in no intersection
+    _, own, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = times[own] > 1
+    of = np.repeat(np.arange(n), sizes)[shared]
+    own = own[shared]
+    lengths = np.bincount(of, minlength=n)
+    starts = np.cumsum(lengths) - lengths
+    marked = np.zeros(len(times), bool)
+
+    def intersections(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        both = np.zeros(len(x), np.int64)
+        order = np.argsort(y, kind="stable")
+        for pairs in np.split(order, np.nonzero(np.diff(y[order]))[0] + 1):
+            one = own[starts[y[pairs[0]]] :][: lengths[y[pairs[0]]]]
+            marked[one] = True
+            ends = np.cumsum(lengths[x[pairs]])
+            at = 0
+            while at < len(pairs):  # a bounded number of tokens at once
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOKENS, "right")))
+                part = x[pairs[at:to]]
+                many = lengths[part]
+                row = np.repeat(np.arange(len(part)), many)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[part], many)
+                both[pairs[at:to]] = np.bincount(row[marked[own[place]]], minlength=len(part))
+                at = to
+            marked[one] = False
+        return both
+
+    at_home, asking = np.nonzero(home)[0], np.nonzero(asks)[0]
+    for x, y in links_within(fp[at_home], fp[asking], slack):
+        x, y = asking[x], at_home[y]
+        keep = (up[x] != up[y]) & (~home[x] | (x < y)) & (np.minimum(sizes[x], sizes[y]) >= similarity * np.maximum(sizes[x], sizes[y]))
+        x, y = x[keep], y[keep]
+        order = np.argsort(distance(fp[x], fp[y]), kind="stable")
+        x, y, step = x[order], y[order], 512
+        while len(x):
+            a, b = x[:step], y[:step]
+            both = intersections(a, b)
+            good = both >= similarity * (sizes[a] + sizes[b] - both)
+            up = forest(n, np.concatenate([np.arange(n), a[good]]), np.concatenate([up, b[good]]))
+            x, y, step = x[step:], y[step:], 2 * step
+            keep = up[x] != up[y]
+            x, y = x[keep], y[keep]
+    linked = np.nonzero(up != given)[0]
+    return linked, up[linked]
+
+
 def closest_forests(fp: np.ndarray, slack: int, forests: int) -> tuple[np.ndarray, np.ndarray]:
     """A forest over the fingerprints that takes the closest links first, then one of the links left, and so on; as pairs of indices.
 

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from marketflow.llm.components import connected
-from marketflow.llm.simhash import Router, closest_forests, fingerprint, forest, links_within, near_copies, near_duplicates
+from marketflow.llm.simhash import Router, alike_forest, closest_forests, fingerprint, forest, links_within, near_copies, near_duplicates
 
 
 def plain(text):
@@ -160,3 +160,73 @@ def test_near_copies_equal_a_double_loop(spark):
     wrong = {i for i in want if want[i] != got[i]}
     assert len(wrong) <= 0.02 * len(rows), wrong
     assert near_copies(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def edits(rng, n, size, swaps):
+    """A text of distinct words and n edits of it, each with some words of its own."""
+    core = [f"c{i}" for i in range(size)]
+    out = [" ".join(core)]
+    for k in range(n):
+        text = list(core)
+        for j, at in enumerate(rng.choice(size, swaps, replace=False)):
+            text[at] = f"e{k}x{j}"
+        out.append(" ".join(text))
+    return out
+
+
+def same_groups(got, want):
+    assert {tuple(sorted(x)) for x in got.values()} == {tuple(sorted(x)) for x in want.values()}
+
+
+def groups_of(spark, rows, **options):
+    out = {}
+    for r in near_copies(spark.createDataFrame(rows, "doc_id bigint, text string"), **options).collect():
+        out.setdefault(r.component_id, []).append(r.doc_id)
+    return out
+
+
+def plain_groups(rows):
+    keys, links = jaccard_roots([t for _, t in rows])
+    root = {t: t for t in keys}
+
+    def find(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    out = {}
+    for i, t in rows:
+        out.setdefault(find(t), []).append(i)
+    return out
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_every_alike_pair_is_linked(across):
+    rng = np.random.default_rng(8)
+    sets = [np.sort(rng.choice(60, int(rng.integers(5, 30)), replace=False)) for _ in range(150)]
+    sets += [np.delete(s, rng.integers(0, len(s))) for s in sets for _ in range(2)]
+    n = len(sets)
+    fp = rng.integers(0, 2**63, n, dtype=np.uint64)
+    home = rng.random(n) < 0.5 if across else np.ones(n, bool)
+    asks = ~home if across else home
+    a, b = alike_forest(fp, np.concatenate(sets).astype(np.int32), np.array([len(s) for s in sets]), home, asks, np.arange(n), 40, 0.8)
+    near = [(i, j) for i in range(n) for j in range(n) if asks[i] and home[j] and (int(fp[i]) ^ int(fp[j])).bit_count() <= 40]
+    true = [(i, j) for i, j in near if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    x, y = np.array(true).T
+    assert len(a) < n and (forest(n, a, b) == forest(n, x, y)).all() and len(true) >= len(a) > 0
+
+
+def test_an_original_holds_its_edits_together(spark):
+    rows = [(i, t) for i, t in enumerate(edits(np.random.default_rng(2), 200, 100, 2))]
+    same_groups(groups_of(spark, rows), plain_groups(rows))
+    assert len(plain_groups(rows)) == 1
+
+
+def test_a_group_in_parts_keeps_its_links(spark):
+    rng = np.random.default_rng(4)
+    rows = [(100 * f + i, t) for f in range(3) for i, t in enumerate(edits(rng, 60, 100, 2)[::-1])]
+    rows = [(i, t if i < 100 else " ".join(f"f{i // 100}{w}" for w in t.split())) for i, t in rows]
+    same_groups(groups_of(spark, rows, shard_shingles=2000), plain_groups(rows))
