@@ -276,8 +276,8 @@ def near_copies(
     ``slack`` that isn't linked yet is checked on them: links are thinned to a
     forest only after they were checked.
 
-    Copies are one text. A key of over ``shard_points`` texts is dealt to
-    several shards, each of which also gets the key's first text. A group of over
+    Copies are one text. All texts of a key of over ``shard_points`` are one
+    group, so that no pair of them is missed. A group of over
     ``shard_points`` texts or ``shard_shingles`` shingles is dealt to parts; then
     each text outside the largest component that the parts hold together is
     sought in all other parts. Links are as many as texts and parts at most, never
@@ -302,18 +302,18 @@ def near_copies(
     distinct = stored(found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("size").alias("size")).filter("first IS NOT NULL"), "copies_distinct")
 
     placed = distinct.select("first", "fp", F.explode("keys").alias("key"))
-    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "fp")).alias("head")).filter("n > 1")
-    several = F.ceil(F.col("n") / shard_points)
-    own = placed.join(shared, "key").select("key", F.pmod(F.xxhash64("first"), several).alias("part"), "first", "fp")
-    # a key's first text goes to all of its parts
-    heads = shared.filter(F.col("n") > shard_points).select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), several - 1)).alias("part"), "head.first", "head.fp")
+    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("head")).filter("n > 1")
+    own = placed.join(shared.filter(F.col("n") <= shard_points), "key").select("key", "first", "fp")
+    # texts of a hot key are one group without a look at their fingerprints; each pair is compared there
+    hubs = placed.join(shared.filter(F.col("n") > shard_points), "key").select(F.col("first").alias("a"), F.col("head").alias("b"))
 
     def links(table: pa.Table) -> pa.Table:
         first, fp = table["first"].to_numpy(), table["fp"].to_numpy().view(np.uint64)
         a, b = closest_forests(fp, slack, 1)
         return pa.table({"a": pa.array(first[a], pa.int64()), "b": pa.array(first[b], pa.int64())})
 
-    candidates = stored(own.union(heads).groupBy("key", "part").applyInArrow(links, "a bigint, b bigint").filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "copies_candidates")
+    near = own.groupBy("key").applyInArrow(links, "a bigint, b bigint")
+    candidates = stored(near.union(hubs).filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "copies_candidates")
 
     groups = connected(candidates)
     members = distinct.join(groups, distinct["first"] == groups["node"]).select(F.col("root").alias("group"), F.col("first").alias("id"), "fp", "size")

@@ -230,3 +230,13 @@ def test_a_group_in_parts_keeps_its_links(spark):
     rows = [(100 * f + i, t) for f in range(3) for i, t in enumerate(edits(rng, 60, 100, 2)[::-1])]
     rows = [(i, t if i < 100 else " ".join(f"f{i // 100}{w}" for w in t.split())) for i, t in rows]
     same_groups(groups_of(spark, rows, shard_shingles=2000), plain_groups(rows))
+
+
+def test_a_hot_key_keeps_all_links(spark):
+    # the least id is an edit, and every key is shared by more texts than a shard holds
+    lead = " ".join(f"l{i}" for i in range(400))
+    texts = edits(np.random.default_rng(6), 60, 100, 2)
+    rows = [(i, t) for i, t in enumerate(texts[1:] + texts[:1])] + [(1000 + i, f"{lead} {' '.join(f'o{i}x{j}' for j in range(150 + i))}") for i in range(20)]
+    want = plain_groups(rows)
+    assert sorted(map(len, want.values())) == [1] * 20 + [61]
+    same_groups(groups_of(spark, rows, shard_points=8), want)
