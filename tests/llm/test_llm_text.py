@@ -1,5 +1,6 @@
 """Language ID, quality, decontamination, winnowing and licences on small inputs."""
 
+import itertools
 import math
 import random
 import re
@@ -150,6 +151,19 @@ def test_overlaps_against_a_plain_search(spark):
     assert decontaminate.clean(docs.limit(0), bench).count() == 0 and decontaminate.clean(docs, bench.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("n", range(3, 15))
+def test_every_admitted_pattern_is_found(n):
+    own, need = [f"w{i}" for i in range(n)], min(13, n)
+    block = decontaminate.Block([(7, "before the item"), (1, " ".join(own)), (8, "w1 after it")], 13, 0.8)
+    for misses in range(4):
+        for at in itertools.combinations(range(n), misses):
+            text = "x w3 y " + " ".join("zz" if i in at else w for i, w in enumerate(own)) + " w0 x"
+            got = [o for o in block.overlaps(text) if o["item_id"] == 1]
+            assert bool(got) == plain_overlaps(text, " ".join(own)), at
+            if got and n <= 13:
+                assert got == [{"item_id": 1, "doc_start": 3, "length": need, "matched": n - misses}]
+
+
 def test_words_of_pieces_equal_those_of_the_whole(monkeypatch):
     text = "one two_three, four5 " * 50
     whole = [w for ws in decontaminate.words(text) for w in ws]
