@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketflow.llm import chat, decontaminate, langid, licenses, linededup, packing, quality, sharding, simhash, winnowing
+from marketflow.llm import audit, bpe, centroids, chat, decontaminate, langid, licenses, linededup, packing, quality, sharding, simhash, winnowing
 from marketflow.llm.common import table
 
 REGISTRY: dict[str, Callable[..., DataFrame]] = {}
-ORACLES: dict[str, str] = {"op4_licenses": licenses.sql(), "op8_line_dedup": linededup.SQL}
+ORACLES: dict[str, str] = {"op4_licenses": licenses.sql(), "op8_line_dedup": linededup.SQL, "op11_filter_audit": audit.SQL}
 
 
 def _query(function):
@@ -117,6 +117,30 @@ def op10_sharding(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@_query
+def op11_filter_audit(spark, sf_dir) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op12_centroids(spark, sf_dir) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    numbers = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(numbers.cast("binary"), 256).alias("centroid_sha256"))
+
+
+ORACLES["op12_centroids"] = centroids.sql()
+
+
+@_query
+def op13_bpe(spark, sf_dir) -> DataFrame:
+    made = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "byte_bpe_50k.json")
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    told = made.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), "ids")
+    back = bpe.decode(told, "byte_bpe_50k.json", to="decoded")
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 @_query
 def pipeline(spark, sf_dir) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
