@@ -19,6 +19,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 #: How byte-level files cut a text into words (fixed value of the format).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Words up to this length are remembered, and so many of them.
+#: Words up to this length are remembered, and so many of them twice over.
 SHORT, REMEMBERED = 48, 1 << 18
 #: Rows, and ids or characters, after which a task hands a batch on.
 ROWS, SIZE = 512, 1 << 20
@@ -69,7 +70,7 @@ class Automaton:
             self.target[made] = self.target[v]
             self.target[u] = len(self.low) - 1
         self.lost: dict[int, tuple[list[int], list[int]]] = {}
-        self._suffixes()
+        self._prefixes()
 
     @staticmethod
     def _numbered(roots, built) -> tuple[dict[int, int], dict[int, int]]:
@@ -87,19 +88,17 @@ class Automaton:
             todo += [(made, False) for _, made in built[token]]
         return place, end
 
-    def _suffixes(self) -> None:
-        """A trie over the reversed labels: node and byte to node, and the token that ends there."""
-        self.arcs: dict[int, int] = {}
-        self.ends = [-1]
+    def _prefixes(self) -> None:
+        """A trie over the labels: each node is the token that ends there (or -1) and the nodes by next byte."""
+        self.root: dict[int, list] = {}
         for token, label in self.label.items():
-            node = 0
-            for b in reversed(label):
-                key = node << 8 | b
-                node = self.arcs.get(key, 0)
-                if not node:
-                    node = self.arcs[key] = len(self.ends)
-                    self.ends.append(-1)
-            self.ends[node] = token
+            arcs = self.root
+            for b in label:
+                node = arcs.get(b)
+                if node is None:
+                    node = arcs[b] = [-1, {}]
+                arcs = node[1]
+            node[0] = token
 
     def lacks(self, state: int) -> tuple[list[int], list[int]]:
         """Begins and ends of the disjoint intervals of tokens that have no arc from ``state``."""
@@ -128,31 +127,39 @@ class Automaton:
     def path(self, word: bytes) -> list[int]:
         """The labels of the only path that spells ``word``.
 
-        The path of each prefix ends in the one token that the prefix ends with
-        and that has an arc from where the path of the rest ended.
+        From each state the longest arc that spells what follows is taken first.
+        A place from which no arc leads on is never entered again, since only one
+        path leads to it.
         """
-        n = len(word)
-        states, last = [0] * (n + 1), [0] * (n + 1)
-        arcs, ends, lost, places, target = self.arcs, self.ends, self.lost, self.place, self.target
-        for i in range(1, n + 1):
-            node, j = 0, i
-            while True:
-                j -= 1
-                node = arcs[node << 8 | word[j]]
-                token = ends[node]
-                if token < 0:
-                    continue
-                state = states[j]
-                lows, highs = lost.get(state) or self.lacks(state)
-                at = bisect_right(lows, places[token]) - 1
-                if at < 0 or places[token] >= highs[at]:
-                    states[i], last[i] = target[token], token
+        n, at, state, root = len(word), 0, 0, self.root
+        lost, places, target, label = self.lost, self.place, self.target, self.label
+        out, dead = [], set()
+        below = n + 1  # where the next arc must end before
+        while at < n:
+            ahead, j, arcs = [], at, root
+            while j < n:
+                node = arcs.get(word[j])
+                if node is None:
                     break
-        out = []
-        while n:
-            out.append(last[n])
-            n -= len(self.label[last[n]])
-        out.reverse()
+                j += 1
+                token, arcs = node
+                if token >= 0 and j < below:
+                    ahead.append((token, j))
+            lows, highs = lost.get(state) or self.lacks(state)
+            while ahead:
+                token, j = ahead.pop()
+                if j not in dead:
+                    place = places[token]
+                    i = bisect_right(lows, place) - 1
+                    if i < 0 or place >= highs[i]:
+                        out.append(token)
+                        at, state, below = j, target[token], n + 1
+                        break
+            else:
+                dead.add(at)
+                below = at
+                at -= len(label[out.pop()])
+                state = target[out[-1]] if out else 0
         return out
 
 
@@ -182,29 +189,31 @@ class Codec:
         self.label = written | self.automaton.label
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
-        self.known: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
-        """Ids of a pre-split word."""
-        got = self.known.get(word)
-        if got is None:
-            got = self.automaton.path(word.encode("utf-8"))
-            if len(word) <= SHORT:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = got
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        """Ids of a pre-split word, four bytes each. Words of late are remembered."""
+        got = self.earlier.get(word) or array("i", self.automaton.path(word.encode("utf-8"))).tobytes()
+        if len(word) <= SHORT:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.earlier = {}, self.known
+            self.known[word] = got
         return got
 
-    def encode(self, text: str) -> array:
-        ids = array("i")
+    def packed(self, text: str) -> bytes:
+        """Ids of a text, four bytes each."""
+        ids = []
         for i, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if i % 2:
-                ids.append(self.special[part])
+                ids.append(array("i", [self.special[part]]).tobytes())
             else:
                 known, word = self.known.get, self.word
-                for w in WORDS.findall(part):
-                    ids.extend(known(w) or word(w))
-        return ids
+                ids += [known(w) or word(w) for w in WORDS.findall(part)]
+        return b"".join(ids)
+
+    def encode(self, text: str) -> array:
+        return array("i", self.packed(text))
 
     def decode(self, ids) -> str:
         """The labels of the arcs one after another; what isn't UTF-8 becomes U+FFFD, unknown ids nothing."""
@@ -222,15 +231,19 @@ def codec(tokenizer: str) -> Codec:
     return Codec(tokenizer)
 
 
-def _mapped(df: DataFrame, column: str, to: StructField, worth, convert) -> DataFrame:
-    """``df`` with ``column`` replaced by ``convert`` of it, in batches of bounded rows and size."""
+def _mapped(df: DataFrame, column: str, to: StructField, converter) -> DataFrame:
+    """``df`` with ``column`` replaced by what is made of it, in batches of bounded rows and size.
+
+    ``converter()`` gives, in a task, a function of one value, one of the size of
+    its result, and one that makes an Arrow column of results.
+    """
     others = [c for c in df.columns if c != column]
     names = [f"c{i}" for i in range(len(others))]
     source = df.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(others, names)), F.col(f"`{column}`").alias("it"))
     out = StructType([*source.schema.fields[:-1], StructField("it", to.dataType)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, kind = convert()
+        one, worth, column_of = converter()
         for batch in batches:
             at, made, size = 0, [], 0
             column = batch.column(batch.num_columns - 1)
@@ -239,13 +252,18 @@ def _mapped(df: DataFrame, column: str, to: StructField, worth, convert) -> Data
                 size += worth(made[-1])
                 if len(made) == ROWS or size >= SIZE or i + 1 == batch.num_rows:
                     kept = batch.slice(at, len(made)).columns[:-1]
-                    yield pa.RecordBatch.from_arrays([*kept, pa.array(made, kind)], names=batch.schema.names)
+                    yield pa.RecordBatch.from_arrays([*kept, column_of(made)], names=batch.schema.names)
                     at, made, size = i + 1, [], 0
 
     mapped = source.mapInArrow(work, out)
     return mapped.select(*(F.col(n).alias(c) for n, c in zip(names, others)), F.col("it").alias(to.name))
 
 
+def _lists(packed: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
 def encode(df: DataFrame, tokenizer: str, text: str = "text", to: str = "ids") -> DataFrame:
     """``df`` with the column ``text`` replaced by its token ids, an array of int named ``to``.
 
@@ -255,11 +273,11 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", to: str = "ids") -
     memory of a task grows with the longest text alone.
     """
 
-    def convert():
-        encoder = codec(tokenizer).encode
-        return lambda t: memoryview(encoder(t.as_py() or "")).tolist(), pa.list_(pa.int32())
+    def converter():
+        packed = codec(tokenizer).packed
+        return lambda t: packed(t.as_py() or ""), len, _lists
 
-    return _mapped(df, text, StructField(to, ArrayType(IntegerType())), len, convert)
+    return _mapped(df, text, StructField(to, ArrayType(IntegerType())), converter)
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", to: str = "text") -> DataFrame:
@@ -268,8 +286,8 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", to: str = "text") ->
     Null ids give an empty text; null or unknown ids within an array say nothing.
     """
 
-    def convert():
+    def converter():
         decoder = codec(tokenizer).decode
-        return lambda x: decoder(x.values.to_pylist() if x.is_valid else []), pa.string()
+        return lambda x: decoder(x.values.to_pylist() if x.is_valid else []), len, lambda made: pa.array(made, pa.string())
 
-    return _mapped(df, ids, StructField(to, StringType()), len, convert)
+    return _mapped(df, ids, StructField(to, StringType()), converter)
