@@ -102,7 +102,8 @@ def counts(scored: DataFrame) -> DataFrame:
 
 def alert(scored: DataFrame, as_of: datetime | Column, minutes: int = 15) -> DataFrame:
     """A log row with the number of recent anomalies; no row when there is none."""
-    recent = scored.filter(F.col("is_anomaly") & (F.col("minute") >= before(as_of, minutes=minutes)))
+    minute = F.col("minute")
+    recent = scored.filter(F.col("is_anomaly") & (minute >= before(as_of, minutes=minutes)) & (minute <= at(as_of)))
     found = recent.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
     return found.select(
         at(as_of).alias("checked_at"),
@@ -114,8 +115,9 @@ def alert(scored: DataFrame, as_of: datetime | Column, minutes: int = 15) -> Dat
 
 def panel(scored: DataFrame, symbol: str, as_of: datetime | Column, hours: int = 2) -> DataFrame:
     """Recent scored bars of one symbol in order."""
+    minute = F.col("minute")
     return (
-        scored.filter((F.col("symbol") == symbol) & (F.col("minute") >= before(as_of, hours=hours)))
+        scored.filter((F.col("symbol") == symbol) & (minute >= before(as_of, hours=hours)) & (minute <= at(as_of)))
         .select("minute", "volume", "lower_bound", "upper_bound", "is_anomaly", "distance")
         .orderBy("minute")
     )

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import EXACT, NARROW, NARROW_SUM, PRODUCT, PUBLISHED, STAGED, difference, published, quotient, total
+from marketflow.functions.numbers import EXACT, NARROW_SUM, PRODUCT, PUBLISHED, STAGED, difference, long_quotient, narrow_product, product, published, quotient, total
 from marketflow.operators.trades import live_window
 
 
@@ -42,15 +42,11 @@ def imbalance() -> Column:
 
 
 def microprice() -> Column:
-    """Mid weighted towards the side with less volume."""
-
-    def weighted(kind: str) -> Column:
-        return F.col("best_bid").try_cast(kind) * F.col("ask_vol").try_cast(kind) + F.col(
-            "best_ask"
-        ).try_cast(kind) * F.col("bid_vol").try_cast(kind)
-
+    """Mid weighted towards the side with less volume; beyond NARROW the weighted prices are published numbers."""
+    bid, ask, bids, asks = (F.col(c) for c in ("best_bid", "best_ask", "bid_vol", "ask_vol"))
+    exact = narrow_product(bid, asks) + narrow_product(ask, bids)
     return F.coalesce(
-        quotient(weighted(NARROW), _total(), PRODUCT, NARROW_SUM), quotient(weighted("double"), _total())
+        quotient(exact, _total(), PRODUCT, NARROW_SUM), long_quotient(total(product(bid, asks), product(ask, bids)), _total())
     )
 
 
@@ -74,8 +70,8 @@ def orderbook_snapshots(levels: DataFrame) -> DataFrame:
     return snapshot_metrics(book_agg(levels, ["symbol", "last_update_id"], received))
 
 
-def message_snapshots(messages: DataFrame) -> DataFrame:
-    """The same rows straight from the arrays of each message: no explode, no shuffle.
+def message_books(messages: DataFrame) -> DataFrame:
+    """Best prices and total volume of both sides straight from the arrays of each message: no explode, no shuffle.
 
     Messages without any level give no row, as they have none when exploded.
     """
@@ -83,26 +79,59 @@ def message_snapshots(messages: DataFrame) -> DataFrame:
     def prices(side: str) -> Column:
         return F.transform(F.col(side), lambda pair: F.get(pair, F.lit(0)).try_cast(STAGED))
 
-    def volume(side: str) -> Column:
-        sizes = F.transform(F.col(side), lambda pair: F.get(pair, F.lit(1)).try_cast(STAGED))
-        added = F.aggregate(
-            sizes,
-            F.lit(0).cast(EXACT),
-            lambda acc, qty: (acc + F.coalesce(qty, F.lit(0).cast(STAGED))).cast(EXACT),
-        )
-        return F.coalesce(added, F.lit(0).cast(EXACT))
-
     levels = F.coalesce(F.size("bids"), F.lit(0)) + F.coalesce(F.size("asks"), F.lit(0))
-    books = messages.filter(levels > 0).select(
+    return messages.filter(levels > 0).select(
         "symbol",
         "last_update_id",
         "ingest_time",
         F.array_max(prices("bids")).alias("best_bid"),
         F.array_min(prices("asks")).alias("best_ask"),
-        volume("bids").alias("bid_vol"),
-        volume("asks").alias("ask_vol"),
+        _volume(F.col("bids")).alias("bid_vol"),
+        _volume(F.col("asks")).alias("ask_vol"),
+    )
+
+
+def _volume(side: Column) -> Column:
+    """Sum of the quantities of an array of [price, qty]."""
+    added = F.aggregate(
+        F.transform(side, lambda pair: F.get(pair, F.lit(1)).try_cast(STAGED)),
+        F.lit(0).cast(EXACT),
+        lambda acc, qty: (acc + F.coalesce(qty, F.lit(0).cast(STAGED))).cast(EXACT),
+    )
+    return F.coalesce(added, F.lit(0).cast(EXACT))
+
+
+def message_snapshots(messages: DataFrame) -> DataFrame:
+    """``orderbook_snapshots`` from the messages themselves."""
+    return snapshot_metrics(message_books(messages))
+
+
+def message_depth_within(messages: DataFrame, bps: float) -> DataFrame:
+    """``depth_within`` from the messages themselves."""
+    def price(pair: Column) -> Column:
+        return F.get(pair, F.lit(0)).try_cast(STAGED)
+
+    levels = F.coalesce(F.size("bids"), F.lit(0)) + F.coalesce(F.size("asks"), F.lit(0))
+    priced = messages.filter(levels > 0).select(
+        "symbol",
+        "last_update_id",
+        "bids",
+        "asks",
+        F.array_max(F.transform("bids", price)).alias("best_bid"),
+        F.array_min(F.transform("asks", price)).alias("best_ask"),
+    )
+    priced = priced.withColumn("_mid", mid().cast("double"))
+
+    # rounding keeps levels that lie exactly on the edge
+    def near(pair: Column) -> Column:
+        return F.round(F.abs(price(pair).cast("double") - F.col("_mid")) - F.col("_mid") * bps / 10000, 9) <= 0
+
+    return priced.select(
+        "symbol",
+        "last_update_id",
+        _volume(F.filter("bids", near)).cast(PUBLISHED).alias("bid_depth"),
+        _volume(F.filter("asks", near)).cast(PUBLISHED).alias("ask_depth"),
     )
-    return snapshot_metrics(books)
 
 
 def latest_levels(levels: DataFrame) -> DataFrame:
@@ -118,7 +147,12 @@ def latest_levels(levels: DataFrame) -> DataFrame:
 def orderbook_live(levels: DataFrame, as_of: datetime | Column, minutes: int = 120) -> DataFrame:
     """Book metrics of the newest snapshot inside the live window, per symbol."""
     latest = latest_levels(live_window(levels, "ingest_time", as_of, minutes))
-    return book_agg(latest, ["symbol"]).select(
+    return live_metrics(book_agg(latest, ["symbol"]))
+
+
+def live_metrics(agg: DataFrame) -> DataFrame:
+    """Row of the live view, of best prices and volumes per symbol."""
+    return agg.select(
         "symbol",
         published(F.col("best_bid")).alias("best_bid"),
         published(F.col("best_ask")).alias("best_ask"),
@@ -131,19 +165,20 @@ def orderbook_live(levels: DataFrame, as_of: datetime | Column, minutes: int = 1
     )
 
 
+def shown(levels: DataFrame) -> DataFrame:
+    """Levels as (symbol, side, level, price, qty), ordered by price."""
+    return levels.select(
+        "symbol",
+        "side",
+        "level",
+        F.col("price").cast("double").alias("price"),
+        F.col("qty").cast("double").alias("qty"),
+    ).orderBy("symbol", "price", "side", "level")
+
+
 def ladder(levels: DataFrame) -> DataFrame:
-    """The newest snapshot as (side, level, price, qty), ordered by price."""
-    return (
-        latest_levels(levels)
-        .select(
-            "symbol",
-            "side",
-            "level",
-            F.col("price").cast("double").alias("price"),
-            F.col("qty").cast("double").alias("qty"),
-        )
-        .orderBy("symbol", "price", "side", "level")
-    )
+    """The newest snapshot of each symbol."""
+    return shown(latest_levels(levels))
 
 
 def crossed_books(books: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions.numbers import STAGED, product
+from marketflow.functions.timecols import at, before
 from marketflow.operators.trades import first_received, stream_symbol
 from marketflow.sources.messages import path
 
@@ -32,6 +35,17 @@ def unique_messages(messages: DataFrame) -> DataFrame:
     return first_received(messages, ["symbol", "last_update_id"], ["ingest_time", "bids", "asks"])
 
 
+def received_messages(raw: DataFrame, since: datetime | Column, until: datetime | Column, copies_within: int = 15) -> DataFrame:
+    """First received copies whose receipt lies in the span; the span is cut out of ``raw`` before anything is shuffled.
+
+    ``copies_within``: minutes within which a message's copies arrive. So far
+    before the span ``raw`` is looked at too, since a later copy must not count.
+    """
+    received = F.col("ingest_time")
+    near = raw.filter((received >= before(since, minutes=copies_within)) & (received <= at(until)))
+    return unique_messages(depth_messages(near)).filter(received >= at(since))
+
+
 def explode_levels(messages: DataFrame) -> DataFrame:
     """One row per level, numbered from 0; empty or missing sides give no row."""
     # both sides in one generator: a single pass over the messages

@@ -41,12 +41,13 @@ def value_type(value: Column) -> Column:
     return F.coalesce(kind, name)
 
 
-def flatten_keys(raw: DataFrame) -> DataFrame:
-    """One row per key of each record's data object."""
+def flatten_keys(raw: DataFrame, *keep: str) -> DataFrame:
+    """One row per key of each record's data object, with the receipt time and the columns ``keep``."""
+    kept = "".join(f", r.`{c}`" for c in keep)
     return raw.sparkSession.sql(
-        """
-        SELECT r.ingest_time, kv.key AS key_name, kv.value AS value
-        FROM {raw} r, LATERAL variant_explode(try_variant_get(r.record, '$.data', 'variant')) kv
+        f"""
+        SELECT r.ingest_time{kept}, kv.key AS key_name, kv.value AS value
+        FROM {{raw}} r, LATERAL variant_explode(try_variant_get(r.record, '$.data', 'variant')) kv
         """,
         raw=raw,
     )

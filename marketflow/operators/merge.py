@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.functions.timecols import before, bucket
+from marketflow.functions.timecols import at, before, bucket
 from marketflow.operators.trades import first_received
 
 
@@ -79,8 +79,9 @@ def recent_events(log: DataFrame, n: int = 10) -> DataFrame:
 
 def failed_runs(run_log: DataFrame, as_of: datetime | Column, hours: int = 1) -> DataFrame:
     """A log row for each failed run of the last hours."""
+    scheduled = F.col("scheduled_time")
     failed = run_log.filter(
-        (F.col("state") == "FAILED") & (F.col("scheduled_time") >= before(as_of, hours=hours))
+        (F.col("state") == "FAILED") & (scheduled >= before(as_of, hours=hours)) & (scheduled <= at(as_of))
     )
     return failed.select(
         "scheduled_time",

@@ -18,6 +18,8 @@ from marketflow.functions.timecols import (
     seconds_between,
 )
 from marketflow.operators.percentile import percentile_cont
+from marketflow.operators.trades import stream_symbol
+from marketflow.sources.messages import path
 
 
 def recent(df: DataFrame, as_of: datetime | Column, minutes: int) -> DataFrame:
@@ -112,14 +114,13 @@ def freshness_alert(
     )
 
 
-def dedup_rate(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """Share of raw rows that the dedup removed, in percent."""
-    rows = raw.agg(F.count(F.lit(1)).alias("raw_trades"))
-    kept = clean.agg(F.count(F.lit(1))).scalar()
+def dedup_rate(raw: DataFrame) -> DataFrame:
+    """Share of raw trades that the dedup removes, in percent: rows and keys in one pass over ``raw``."""
+    copies = raw.select(stream_symbol(path("stream", "string")).alias("symbol"), path("data.t", "bigint").alias("trade_id"))
+    keys = copies.groupBy("symbol", "trade_id").agg(F.count(F.lit(1)).alias("_n"))
     share = ratio(F.col("dedup_trades"), F.col("raw_trades"))
-    return rows.select("raw_trades", kept.alias("dedup_trades")).withColumn(
-        "duplicate_pct", F.round((1 - share) * 100, 1)
-    )
+    rows = keys.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("raw_trades"), F.count(F.lit(1)).alias("dedup_trades"))
+    return rows.withColumn("duplicate_pct", F.round((1 - share) * 100, 1))
 
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:

@@ -42,9 +42,11 @@ def release(spark: SparkSession) -> None:
         location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
+def work_dir(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A fresh folder for one job, below the folder shared by all executors.
 
+    ``release`` leaves a folder that is to be kept for other jobs.
+
     The cluster names that folder in ``spark.checkpoint.dir``. A session without
     the setting gets a local folder when it runs on one machine, and an error
     when it does not: other executors could not see that folder.
@@ -54,5 +56,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = _local_dir()
-    _made.append(os.path.join(shared, f"{name}-{uuid.uuid4().hex[:12]}"))
-    return _made[-1]
+    location = os.path.join(shared, f"{name}-{uuid.uuid4().hex[:12]}")
+    if not keep:
+        _made.append(location)
+    return location

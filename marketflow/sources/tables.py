@@ -8,6 +8,7 @@ so a lost driver or executor loses no rows.
 
 from __future__ import annotations
 
+import hashlib
 from contextlib import contextmanager
 from datetime import date, datetime
 
@@ -47,6 +48,10 @@ def _kept(df: DataFrame):
             df.unpersist()
 
 
+#: Folder name of the partition whose value is missing (fixed value of the format).
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _pending(path: str) -> str:
     return path.rstrip("/") + "__pending"
 
@@ -202,33 +207,106 @@ def insert_first(
                 _publish(merged.select(*updates.columns), path, partition)
 
 
+def partition_marks(spark: SparkSession, path: str, partition: str) -> dict[str, str]:
+    """A mark per partition that changes whenever files are added, replaced or removed there.
+
+    It comes from the listing (names and sizes), so no row is read.
+    """
+    fs, location = _path(spark, path)
+    found = {}
+    for folder in [s.getPath() for s in fs.listStatus(location) if s.isDirectory()]:
+        if folder.getName().startswith(f"{partition}="):
+            files = sorted(f"{s.getPath().getName()}:{s.getLen()}" for s in fs.listStatus(folder) if s.isFile())
+            found[folder.getName().split("=", 1)[1]] = hashlib.sha256("\n".join(files).encode()).hexdigest()
+    return found
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, names: list[str]) -> None:
+    """Put the rows of ``df`` in the place of the partitions ``names`` (folder names after ``=``); those that ``df`` has no row of go.
+
+    ``df`` must have no rows of other partitions.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    if not exists(spark, path):
+        _write(df, path, partition)
+        return
+    df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(_pending(path))
+    fs, staged = _path(spark, _pending(path))
+    fresh = {s.getPath().getName() for s in fs.listStatus(staged) if s.isDirectory()}
+    _move(spark, path)
+    _delete(spark, _pending(path))
+    for name in names:
+        if f"{partition}={name}" not in fresh:
+            fs.delete(_path(spark, f"{path.rstrip('/')}/{partition}={name}")[1], True)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, unit: str = "day") -> None:
-    """Append a streaming batch; writing the same batch again replaces it.
+def append_batch(df: DataFrame, path: str, batch_id: int, unit: str = "day") -> int:
+    """Append a streaming batch; writing the same batch again replaces it. Rows put in place.
 
     Rows lie by receipt date (or its month or year), so retention removes whole
     folders, and their number doesn't grow with that of the batches. The batch is
     written beside the table; its files are then moved into the folders of their
-    dates under names that begin with the batch, where an earlier attempt's go first.
+    dates under names that begin with the batch. A repeated batch holds the same
+    rows and meets its earlier files by name: each is replaced, and those beyond
+    the new number go, whose names follow on; the folder is never listed.
     """
-    spark, staged, prefix = df.sparkSession, path.rstrip("/") + "__batch", f"batch-{batch_id}-"
+    spark, staged = df.sparkSession, path.rstrip("/") + "__batch"
     dated = df.withColumn("ingest_date", F.to_date(F.date_trunc(unit, "ingest_time")))
     dated.hint("rebalance", "ingest_date").write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).partitionBy("ingest_date").parquet(staged)
     fs, location = _path(spark, staged)
-    for day in [s.getPath() for s in fs.listStatus(location) if s.isDirectory() and "=" in s.getPath().getName()]:
+    days = [s.getPath() for s in fs.listStatus(location) if s.isDirectory() and "=" in s.getPath().getName()]
+    rows = spark.read.schema(dated.schema).parquet(staged).count() if days else 0
+    for day in days:
         _, folder = _path(spark, f"{path.rstrip('/')}/{day.getName()}")
         fs.mkdirs(folder)
-        for old in [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith(prefix)]:
-            fs.delete(old, False)
-        for number, part in enumerate(s.getPath() for s in fs.listStatus(day)):
-            if not fs.rename(part, _path(spark, f"{folder}/{prefix}{number:05d}.parquet")[1]):
+
+        def named(number: int) -> JavaObject:
+            return _path(spark, f"{folder}/batch-{batch_id}-{number:05d}.parquet")[1]
+
+        parts = [s.getPath() for s in fs.listStatus(day)]
+        for number, part in enumerate(parts):
+            fs.delete(named(number), False)
+            if not fs.rename(part, named(number)):
                 raise OSError(f"cannot move {part} to {folder}")
+        number = len(parts)
+        while fs.delete(named(number), False):
+            number += 1
     _delete(spark, staged)
+    return rows
+
+
+def compact(spark: SparkSession, path: str, partition: str, until: str, file_bytes: int = 128 << 20) -> list[str]:
+    """Rewrite partitions below ``until`` that lie in more files than their size needs; their names.
+
+    For closed partitions: a batch that is run again finds its rows by the names of
+    its files, which are lost here, so ``until`` must lie before any partition that
+    the stream's next batch can bring rows of. Each partition is replaced by the publishing step of
+    the other changes, a stage of few partitions at a time, so that a job that
+    died is completed by the next one and readers see each row once.
+    """
+    recover(spark, path)
+    fs, location = _path(spark, path)
+    crowded = {}
+    for folder in [s.getPath() for s in fs.listStatus(location) if s.isDirectory()]:
+        name = folder.getName().removeprefix(f"{partition}=")
+        if folder.getName().startswith(f"{partition}=") and name < until:
+            sizes = [s.getLen() for s in fs.listStatus(folder) if s.isFile()]
+            wanted = max(1, -(-sum(sizes) // file_bytes))
+            if len(sizes) > wanted:
+                crowded[name] = wanted
+    for name, wanted in sorted(crowded.items()):
+        rows = read_table(spark, path).filter(F.col(partition).cast("string") == name)
+        rows.repartition(wanted).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(_pending(path))
+        _move(spark, path)
+        _delete(spark, _pending(path))
+    return sorted(crowded)
 
 
 def _drop_dates(spark: SparkSession, path: str, partition: str, wanted) -> None:

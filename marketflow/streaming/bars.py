@@ -39,6 +39,15 @@ def stream_ohlcv(raw: DataFrame, delay: str = "15 minutes", width: str = "1 minu
     return bars.select("symbol", start, *[c for c in bars.columns if c not in ("symbol", "_bucket")])
 
 
+def closed_bars(raw: DataFrame, delay: str = "15 minutes", width: str = "1 minute") -> DataFrame:
+    """(symbol, minute, close) of each bar once the watermark has closed it, for a query in append mode.
+
+    A symbol's bars come in order: those that close together are in one batch,
+    later ones in a later batch.
+    """
+    return stream_ohlcv(raw, delay, width).select("symbol", "minute", "close")
+
+
 def upsert_bars(bars: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Keep a table of bars by (symbol, minute) from a stream in update mode."""
 

@@ -6,11 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions.numbers import published
+from marketflow.streaming.bars import closed_bars
 
 OUTPUT = "symbol string, minute timestamp_ntz, rn bigint, avg_gain double, avg_loss double, rsi_14 double"
 STATE = "rn bigint, close double, gain double, loss double"
 
 
+def stream_rsi_of_trades(raw: DataFrame, delay: str = "15 minutes", width: str = "1 minute", n: int = 14) -> DataFrame:
+    """Index of each bar as it closes, straight from raw trades: dedup, bars and index are stateful steps of one query.
+
+    For append mode; a bar comes out when the watermark has passed its end.
+    """
+    return stream_rsi(closed_bars(raw, delay, width), n)
+
+
 def stream_rsi(bars: DataFrame, n: int = 14) -> DataFrame:
     """Index per closed bar. Bars of a symbol must arrive in order across batches.
 

@@ -17,6 +17,7 @@ from marketflow.sources import messages as msg
 from marketflow.sources import tables
 from marketflow.streaming import bars as stream_bars
 from marketflow.streaming import book as stream_book
+from marketflow.streaming import firsts as stream_firsts
 from marketflow.streaming import ingest
 from marketflow.streaming import rsi as stream_rsi
 from verification.queries import stored_stream, stream_settings
@@ -79,6 +80,91 @@ def test_unique_trades(spark, arrivals):
     same(unique.drop("ingest_time"), stg_trades(raw_batch(spark, arrivals, "trades")))
 
 
+def trade_files(spark, path, files):
+    for rows in files:
+        messages(spark, rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_first_received_in_and_across_batches(spark, tmp_path):
+    """Inside a batch the earliest copy; a later batch passes on only what was received earlier still, marked."""
+    path, at = str(tmp_path / "in"), NOON
+    copy = lambda i, seconds, minute=0: (trade_json("A", i, 1, 1, at + timedelta(minutes=minute)), at + timedelta(minutes=minute, seconds=seconds))
+    trade_files(spark, path, [
+        [copy(1, 9), copy(1, 3), copy(1, 5), copy(2, 4), copy(2, 4), copy(3, 8)],
+        [copy(1, 2), copy(2, 6), copy(3, 9), copy(4, 1), copy(2**53 + 1, 1)],
+        [copy(4, 2), copy(2**53 + 2, 1), copy(2**53 + 1, 3), copy(3, 1)],
+    ])
+    with stream_settings(spark):
+        found = stored_stream(stream_firsts.first_trades(raw_stream(spark, path, "trades")), "first")
+    got = sorted((r.trade_id, (r.ingest_time - at).seconds, r.corrects) for r in found.collect())
+    assert got == [(1, 2, True), (1, 3, False), (2, 4, False), (3, 1, True), (3, 8, False), (4, 1, False), (2**53 + 1, 1, False), (2**53 + 2, 1, False)]
+
+
+def test_first_received_equals_the_batch_dedup(spark, arrivals):
+    with stream_settings(spark):
+        found = stored_stream(stream_firsts.first_trades(raw_stream(spark, arrivals, "trades"), span_seconds=600), "first")
+    assert found.filter("corrects").count() == 0
+    want = stg_trades(raw_batch(spark, arrivals, "trades"))
+    same(found.drop("corrects"), want.drop("trade_uid"))
+
+
+def test_first_received_state_expires(spark, tmp_path):
+    """A copy behind the watermark is late; the state of its span is gone."""
+    path = str(tmp_path / "in")
+    one = lambda i, minute: (trade_json("A", i, 1, 1, NOON + timedelta(minutes=minute)), NOON + timedelta(minutes=minute, seconds=1))
+    trade_files(spark, path, [[one(1, 0)], [one(2, 60)], [one(3, 61)], [one(1, 0), one(4, 58)]])
+    with stream_settings(spark):
+        found = stored_stream(stream_firsts.first_trades(raw_stream(spark, path, "trades"), "5 minutes"), "first")
+    assert sorted(r.trade_id for r in found.collect()) == [1, 2, 3, 4]
+
+
+def test_counters_of_a_running_stream(spark, arrivals, tmp_path):
+    """Sums equal the batch twin, live and stored; a batch that is run again replaces its figures."""
+    live = ingest.IngestCounters()
+    spark.streams.addListener(live)
+    try:
+        for _ in range(2):
+            query = ingest.write_raw(
+                ingest.stream_messages(spark, arrivals, max_files=1),
+                str(tmp_path / "t"), str(tmp_path / "d"), str(tmp_path / "cp"),
+                counters_path=str(tmp_path / "counters"), live=live, availableNow=True,
+            )
+            query.awaitTermination()
+            spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(live)
+    want = msg.ingest_counters(msg.read_messages(spark, arrivals)).first().asDict()
+    want["written"] = want["accepted"]
+    assert live.totals() == want and live.state == "ended" and len(live.batches) == 3
+    stored = tables.read_table(spark, str(tmp_path / "counters"))
+    assert ingest.counters(spark, str(tmp_path / "counters")).first().asDict() == want
+    assert sorted(r.batch_id for r in stored.collect()) == [0, 1, 2]
+    # batch 2 once more, as after a driver that died before the commit
+    again = stored.filter("batch_id = 2").drop("ingest_date")
+    tables.append_batch(again, str(tmp_path / "counters"), 2)
+    assert ingest.counters(spark, str(tmp_path / "counters")).first().asDict() == want
+
+
+def test_rsi_of_raw_trades_in_one_query(spark, tmp_path):
+    """Dedup, bars and index in one query equal the batch index of the bars that the watermark closed."""
+    path, rows = str(tmp_path / "in"), []
+    for i in range(200):
+        at = NOON + timedelta(seconds=20 * i)
+        text = trade_json("A" if i % 3 else "B", i, 100 + i * 7919 % 13, 1 + i % 4, at)
+        rows += [(text, at + timedelta(seconds=1))] + ([(text, at + timedelta(seconds=9))] if i % 5 == 0 else [])
+    trade_files(spark, path, [rows[:90], rows[90:170], rows[170:]])
+    with stream_settings(spark):
+        stream = stream_rsi.stream_rsi_of_trades(raw_stream(spark, path, "trades"), delay="2 minutes")
+        got = stored_stream(stream, "rsi").orderBy("symbol", "rn").collect()
+    bars = ohlcv(stg_trades(msg.raw_table(msg.read_messages(spark, path), "trades")))
+    edge = NOON + timedelta(seconds=20 * 199) - timedelta(minutes=2)
+    want = [r for r in rsi_wilder(bars).orderBy("symbol", "rn").collect() if r.minute + timedelta(minutes=1) <= edge]
+    assert [(r.symbol, r.minute, r.rn) for r in got] == [(r.symbol, r.minute, r.rn) for r in want]
+    assert any(r.rsi_14 is not None for r in got)
+    for have, expected in zip(got, want):
+        assert have.rsi_14 is None or float(have.rsi_14) == pytest.approx(float(expected.rsi_14), abs=2e-8)
+
+
 def test_bars_by_state_and_by_table(spark, arrivals, tmp_path):
     want = ohlcv(stg_trades(raw_batch(spark, arrivals, "trades")))
     with stream_settings(spark):

@@ -1,11 +1,12 @@
 """Prices and quantities beyond DECIMAL(18,8) keep their values."""
 
+import random
 from decimal import Decimal, ROUND_HALF_UP, getcontext
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketflow.functions.numbers import product
+from marketflow.functions.numbers import long_quotient, product, quotient
 from marketflow.operators.bars import ohlcv
 from marketflow.operators.book import message_snapshots, orderbook_live, orderbook_snapshots
 from marketflow.operators.depth import depth_messages, enrich_levels, unique_depth_levels
@@ -55,3 +56,32 @@ def test_products_round_alike_at_every_size(spark):
     df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in pairs], "a decimal(38,8), b decimal(38,8)")
     got = [r[0] for r in df.select(product(F.col("a"), F.col("b"))).collect()]
     assert got == [(Decimal(a) * Decimal(b)).quantize(Decimal("1e-8"), ROUND_HALF_UP) for a, b in pairs]
+
+
+def paper(a, b, scale=1):
+    return (scale * Decimal(a) / Decimal(b)).quantize(Decimal("1e-8"), ROUND_HALF_UP) if Decimal(b) else None
+
+
+@pytest.mark.parametrize("scale", [1, 100, 20_000])
+def test_quotients_round_alike_at_every_size(spark, scale):
+    """Halves included, on both sides of 10^10, at which the operands stop fitting the short form."""
+    rng = random.Random(7)
+    pairs = [("0.00000005", "10"), ("9999999999.5", "1000000000"), ("10000000000.5", "1000000000"), ("100000000005", "10000000000000000000"), ("-100000000005", "10000000000000000000")]
+    pairs += [("1", "3"), ("12345678901234567890123456789", "7.5"), ("2", "99999999999.99999999"), ("5", "0"), ("0", "12345678901"), ("-3", "-123456789012345.00000001")]
+    for _ in range(200):
+        size = lambda: Decimal(rng.randint(1, 10 ** rng.randint(1, 30))).scaleb(-8) * rng.choice([1, -1])
+        a, b = size(), size()
+        if abs(a / b) * scale < Decimal(10) ** 27:
+            pairs.append((str(a), str(b)))
+    # exact halves: q + 1/2 eighth decimals times b
+    for e in range(2, 16):
+        b = Decimal(2 * 10**e)
+        pairs.append((str((Decimal(rng.randint(1, 10**9)) + Decimal("0.5")).scaleb(-8) * b / scale), str(b)))
+    # a numerator with further decimals was no published number
+    pairs = [(a, b) for a, b in pairs if Decimal(a) == Decimal(a).quantize(Decimal("1e-8"))]
+    # a published result has room below 10^29
+    pairs = [(a, b) for a, b in pairs if not Decimal(b) or abs(scale * Decimal(a) / Decimal(b)) < Decimal(10) ** 29]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in pairs], "a decimal(38,8), b decimal(38,8)")
+    both = df.select(quotient(F.col("a"), F.col("b"), scale=scale), long_quotient(F.col("a"), F.col("b"), scale)).collect()
+    assert [r[1] for r in both] == [paper(a, b, scale) for a, b in pairs]
+    assert [r[0] for r in both] == [paper(a, b, scale) for a, b in pairs]

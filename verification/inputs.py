@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions.timecols import from_millis
+from marketflow.operators.depth import SIDE_ARRAY
+from marketflow.plans import facts, newest, summaries
 from marketflow.session import work_dir
-from marketflow.sources.messages import raw_table
+from marketflow.sources.messages import path, raw_table
+from marketflow.sources.tables import read_table
 
 LEVELS_PER_MESSAGE = 20
 SECOND = 1000
+# Splits the order dates for builds in two steps.
+BOOK_CUT = datetime(1996, 1, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +79,15 @@ def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.explode(several).alias("m")).filter("m is not null").select("m.*")
 
 
+def clock_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trade message of a symbol of its own, a day after the last event: an idle feed's clock."""
+    ms = F.unix_millis(F.max(F.col("ts").cast("timestamp"))) + 86_400 * SECOND
+    last = table(spark, sf_dir, "events").agg(ms.alias("ms"))
+    lit = F.lit
+    text = trade_text("@trade", lit("clock"), lit(0), F.col("ms"), lit("1"), lit("1"), lit(False), lit(None).cast("decimal(3,2)"))
+    return last.select(text.alias("value"), from_millis(F.col("ms")).alias("ingest_time"))
+
+
 def depth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Depth messages as JSON text, at most twenty levels a side; some messages repeat.
 
@@ -132,12 +146,104 @@ def depth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class Warehouse:
+    """Tables that a running feed maintains, built once per session and data set, each when it is first asked for.
+
+    Raw messages lie by day (trades) or month (depth, which spans years) of
+    receipt, as the raw sink writes them. The facts come from two builds with a
+    cut between them, and so do the summaries and the newest books.
+    """
+
+    UNIT = {"trades": "day", "depth": "month"}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.paths = spark, sf_dir, {}
+
+    def path(self, name: str, build) -> str:
+        if name not in self.paths:
+            path = work_dir(self.spark, name, keep=True)
+            build(path)
+            self.paths[name] = path
+        return self.paths[name]
+
+    def raw_path(self, target: str) -> str:
+        def build(path: str) -> None:
+            made = {"trades": trade_messages, "depth": depth_messages}[target](self.spark, self.sf_dir)
+            dated = raw_table(made, target).withColumn("ingest_date", F.to_date(F.date_trunc(self.UNIT[target], "ingest_time")))
+            dated.hint("rebalance", "ingest_date").write.partitionBy("ingest_date").parquet(path)
+
+        return self.path(f"raw_{target}", build)
+
+    def raw(self, target: str) -> DataFrame:
+        """The raw table with its partition column."""
+        schema = "record VARIANT, ingest_time TIMESTAMP_NTZ, ingest_date DATE"
+        return self.spark.read.schema(schema).parquet(self.raw_path(target))
+
+    def fact_path(self, name: str) -> str:
+        def build(path: str) -> None:
+            if name == "fct_trades":
+                facts.refresh_trades_table(self.raw("trades"), path)
+            elif name == "fct_depth_snapshots":
+                facts.refresh_depth_table(self.raw("depth"), path)
+            else:
+                facts.refresh_bars_table(self.fact("fct_trades"), path)
+
+        return self.path(name, build)
+
+    def fact(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.fact_path(name))
+
+    def build(self) -> None:
+        """Build what is not there yet, but for summaries."""
+        for name in ("fct_trades", "fct_ohlcv_1min", "fct_depth_snapshots"):
+            self.fact_path(name)
+        self.books_path()
+
+    def books_path(self) -> str:
+        """Newest books, from the older and then the younger half of the depth messages by receipt."""
+
+        def build(path: str) -> None:
+            raw = self.raw("depth")
+            middle = F.lit(BOOK_CUT).cast("timestamp_ntz")
+            newest.refresh_books(raw.filter(F.col("ingest_time") < middle), path)
+            newest.refresh_books(raw.filter(F.col("ingest_time") >= middle), path)
+
+        return self.path("newest_books", build)
+
+    def summary(self, name: str, source: str, partition: str, summarise) -> DataFrame:
+        """A summary of a maintained table, refreshed twice: what did not change is not read again."""
+
+        def build(path: str) -> None:
+            summaries.refresh(self.spark, source, path, partition, summarise)
+            again = summaries.refresh(self.spark, source, path, partition, summarise)
+            if again:
+                raise AssertionError(f"{name}: unchanged partitions were read again: {again}")
+
+        return read_table(self.spark, self.path(name, build))
+
+
+_warehouses: dict[tuple[str, str], Warehouse] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _warehouses:
+        _warehouses[key] = Warehouse(spark, sf_dir)
+    return _warehouses[key]
+
+
+def level_count() -> Column:
+    """Levels of a raw depth message."""
+    sides = [F.size(path(f"data.{side}", SIDE_ARRAY)) for side in ("bids", "asks")]
+    return F.coalesce(sides[0], F.lit(0)) + F.coalesce(sides[1], F.lit(0))
+
+
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_table(trade_messages(spark, sf_dir), "trades")
+    return warehouse(spark, sf_dir).raw("trades").drop("ingest_date")
 
 
 def raw_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_table(depth_messages(spark, sf_dir), "depth")
+    return warehouse(spark, sf_dir).raw("depth").drop("ingest_date")
 
 
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,13 @@ from marketflow.operators import (
     slo,
     trades as trade_ops,
 )
-from marketflow.plans import facts, live
+from marketflow.plans import facts, live, newest, summaries
 from marketflow.session import configure, work_dir
 from marketflow.sources import messages as msg
 from marketflow.sources import tables
 from marketflow.streaming import bars as stream_bars
 from marketflow.streaming import book as stream_book
+from marketflow.streaming import firsts as stream_firsts
 from marketflow.streaming import ingest as stream_ingest
 from marketflow.streaming import rsi as stream_rsi_ops
 from verification import inputs
@@ -103,20 +104,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def trades_table(spark, sf) -> DataFrame:
-    """Deduplicated trades as a table, for queries that look at them more than once."""
-    return stored(clean(spark, sf), "trades")
-
-
-def levels_table(spark, sf) -> DataFrame:
-    return stored(levels(spark, sf), "levels")
+    """Deduplicated trades as the maintained table, for queries that look at them more than once."""
+    return inputs.warehouse(spark, sf).fact("fct_trades")
 
 
 def minute_table(spark, sf) -> DataFrame:
-    return stored(minute_bars(spark, sf), "bars_1min")
+    return inputs.warehouse(spark, sf).fact("fct_ohlcv_1min").drop("bar_date")
 
 
 def hour_table(spark, sf) -> DataFrame:
-    return stored(hour_bars(spark, sf), "bars_1h")
+    return stored(bar_ops.ohlcv(trades_table(spark, sf), "1 hour"), "bars_1h")
 
 
 def levels(spark, sf) -> DataFrame:
@@ -208,7 +205,7 @@ def raw_retention(spark, sf):
 
 
 @query
-def monitor_log_events(spark, sf):
+def pipeline_log_events(spark, sf):
     """The event log after all monitors have appended their rows to a table."""
     path = work_dir(spark, "event_log")
     stg = clean(spark, sf)
@@ -310,22 +307,25 @@ def live_window_trades(spark, sf):
 
 @query
 def live_window_depth(spark, sf):
-    lv = levels_table(spark, sf)
-    return plain(trade_ops.live_window(lv, "ingest_time", last_ingest(lv), MONTH))
+    raw = inputs.raw_depth(spark, sf)
+    # the newest first copy: copies of a message come within seconds
+    newest_copy = last_ingest(raw)
+    recent = depth.received_messages(raw, newest_copy - F.make_dt_interval(mins=F.lit(15)), newest_copy)
+    as_of = last_ingest(recent)
+    return plain(depth.explode_levels(depth.received_messages(raw, as_of - F.make_dt_interval(mins=F.lit(MONTH)), as_of)))
 
 
 @query
 def raw_key_profile(spark, sf):
-    raw = inputs.raw_trades(spark, sf)
+    """Straight from the raw rows of the last 24 hours of each table."""
+    raw, deep = inputs.raw_trades(spark, sf), inputs.raw_depth(spark, sf)
     of_trades = drift.key_profile(raw, "RAW_TRADES", last_ingest(raw))
-    deep = inputs.raw_depth(spark, sf)
-    return of_trades.unionByName(drift.key_profile(deep, "RAW_DEPTH"))
+    return of_trades.unionByName(drift.key_profile(deep, "RAW_DEPTH", last_ingest(deep)))
 
 
 @query
 def dedup_rate(spark, sf):
-    raw = inputs.raw_trades(spark, sf)
-    return slo.dedup_rate(raw, trade_ops.stg_trades(raw))
+    return slo.dedup_rate(inputs.raw_trades(spark, sf))
 
 
 @query
@@ -533,15 +533,20 @@ def book_best_levels(spark, sf):
     return plain(book.book_agg(levels(spark, sf), ["symbol", "last_update_id"]))
 
 
+def _live_books(spark, sf) -> DataFrame:
+    """Out of the table of newest books; its youngest message tells the time."""
+    path = inputs.warehouse(spark, sf).books_path()
+    return newest.orderbook_live(spark, path, last_ingest(tables.read_table(spark, path)), MONTH)
+
+
 @query
 def latest_book_levels(spark, sf):
-    return plain(book.latest_levels(levels_table(spark, sf)))
+    return plain(newest.latest_levels(spark, inputs.warehouse(spark, sf).books_path()))
 
 
 @query
 def orderbook_metrics_live(spark, sf):
-    lv = levels_table(spark, sf)
-    return plain(book.orderbook_live(lv, last_ingest(lv), MONTH))
+    return plain(_live_books(spark, sf))
 
 
 @query
@@ -551,24 +556,24 @@ def crossed_books(spark, sf):
 
 @query
 def book_ladder(spark, sf):
-    return book.ladder(levels_table(spark, sf))
+    return book.shown(newest.latest_levels(spark, inputs.warehouse(spark, sf).books_path()))
 
 
 @query
 def depth_within_bps(spark, sf):
-    return plain(book.depth_within(levels_table(spark, sf), 3))
+    messages = depth.unique_messages(depth.depth_messages(inputs.raw_depth(spark, sf)))
+    return plain(book.message_depth_within(messages, 3))
 
 
 @query
 def kpi_strip(spark, sf):
     """Trades and books have different symbols here; the strip pairs them one to one, in order."""
-    lv = levels_table(spark, sf)
     bars = hour_table(spark, sf)
+    live_books = _live_books(spark, sf)
     traded = [r.symbol for r in bar_ops.symbols(bars).collect()]
-    quoted = [r.symbol for r in bar_ops.symbols(lv).collect()]
+    quoted = [r.symbol for r in bar_ops.symbols(live_books).collect()]
     pairs = spark.createDataFrame(list(zip(traded, quoted)), "symbol string, quoted string")
-    live_books = book.orderbook_live(lv, last_ingest(lv), MONTH).withColumnRenamed("symbol", "quoted")
-    live_books = live_books.join(pairs, "quoted").drop("quoted")
+    live_books = live_books.withColumnRenamed("symbol", "quoted").join(pairs, "quoted").drop("quoted")
     strip = live.kpi_strip(bars, metrics.market_metrics(bars), live_books)
     return plain(strip, *METRIC_COLUMNS)
 
@@ -618,15 +623,57 @@ def dedup_once_slice(spark, sf):
 # ---------------------------------------------------------------- service levels and monitoring
 
 
+def _extents(spark, sf, name: str, *extra) -> DataFrame:
+    """Rows and times per partition of a maintained table."""
+    house = inputs.warehouse(spark, sf)
+    if name.startswith("raw_"):
+        source, partition = house.raw_path(name.removeprefix("raw_")), "ingest_date"
+    else:
+        source, partition = house.fact_path(name), PARTITIONS[name]
+    return house.summary(f"{name}_extents", source, partition, summaries.extents(partition, *extra))
+
+
+PARTITIONS = {"fct_trades": "trade_date", "fct_ohlcv_1min": "bar_date", "fct_depth_snapshots": "id_range"}
+
+
+def _newest(extents: DataFrame, time_col: str = "ingest_time") -> datetime | None:
+    return extents.agg(F.max(f"max_{time_col}")).first()[0]
+
+
+def received_trades(spark, sf, minutes: int) -> tuple[DataFrame, datetime]:
+    """The stored trades received in the last minutes, and the time of the newest: only partitions that hold some are read."""
+    extents = _extents(spark, sf, "fct_trades")
+    as_of = _newest(extents)
+    path = inputs.warehouse(spark, sf).fact_path("fct_trades")
+    return summaries.between(spark, path, extents, "trade_date", "ingest_time", as_of - timedelta(minutes=minutes), as_of), as_of
+
+
 @query
 def latency_by_symbol(spark, sf):
-    stg = trades_table(spark, sf)
-    return slo.latency(stg, last_ingest(stg), DAY)
+    return slo.latency(*received_trades(spark, sf, DAY), DAY)
+
+
+@query
+def latency_sketched(spark, sf):
+    """Percentiles out of merged sketches, told as whether they lie where their error bound allows."""
+    house = inputs.warehouse(spark, sf)
+    sketches = house.summary("delays", house.fact_path("fct_trades"), "trade_date", summaries.delay_sketches("trade_date"))
+    last = sketches.agg(F.max("minute")).scalar()
+    found = summaries.latency(sketches, last, DAY)
+    since = last - F.make_dt_interval(mins=F.lit(DAY - 1))
+    trades = house.fact("fct_trades").filter(F.col("ingest_time") >= since)
+    ms = F.unix_millis(F.col("ingest_time").cast("timestamp")) - F.unix_millis(F.col("traded_at").cast("timestamp"))
+    ranked = trades.select(F.col("symbol").alias("_symbol"), ms.alias("_ms")).join(found, F.col("_symbol") == F.col("symbol"))
+    slack = 0.01
+    below = F.count_if(F.col("_ms") < F.col("p95_latency_s") * 1000 - 0.5) / F.count(F.lit(1))
+    up_to = F.count_if(F.col("_ms") <= F.col("p95_latency_s") * 1000 + 0.5) / F.count(F.lit(1))
+    return ranked.groupBy("symbol", "trades", "avg_latency_s").agg(((below <= 0.95 + slack) & (up_to >= 0.95 - slack)).alias("p95_in_bound"))
 
 
 def _global(spark, sf):
-    stg = trades_table(spark, sf)
-    return slo.latency_global(stg, inputs.raw_trades(spark, sf), last_ingest(stg), DAY)
+    trades, as_of = received_trades(spark, sf, DAY)
+    raw = _extents(spark, sf, "raw_trades").select(F.col("max_ingest_time").alias("ingest_time"))
+    return slo.latency_global(trades, raw, as_of, DAY)
 
 
 @query
@@ -641,51 +688,53 @@ def slo_budget(spark, sf):
 
 @query
 def throughput_per_minute(spark, sf):
-    stg = trades_table(spark, sf)
-    return slo.throughput(stg, last_ingest(stg), DAY)
+    return slo.throughput(*received_trades(spark, sf, DAY), DAY)
+
+
+def _fresh(spark, sf, later_seconds: int = 0) -> DataFrame:
+    of_trades, of_depth = _extents(spark, sf, "fct_trades"), _extents(spark, sf, "fct_depth_snapshots")
+    return summaries.freshness(of_trades, of_depth, _newest(of_trades) + timedelta(seconds=later_seconds))
 
 
 @query
 def freshness(spark, sf):
-    stg = trades_table(spark, sf)
-    return slo.freshness(stg, levels_table(spark, sf), last_ingest(stg))
+    return _fresh(spark, sf)
 
 
 @query
 def freshness_status(spark, sf):
-    stg = trades_table(spark, sf)
-    soon = last_ingest(stg) + F.make_dt_interval(secs=F.lit(45.0))
-    return slo.freshness_labels(slo.freshness(stg, levels_table(spark, sf), soon))
+    return slo.freshness_labels(_fresh(spark, sf, 45))
 
 
 @query
 def freshness_alert(spark, sf):
-    stg = trades_table(spark, sf)
-    return plain(slo.freshness_alert(stg, last_ingest(stg) + F.make_dt_interval(mins=F.lit(4))))
+    extents = _extents(spark, sf, "fct_trades")
+    newest_rows = extents.select(F.col("max_ingest_time").alias("ingest_time"))
+    return plain(slo.freshness_alert(newest_rows, _newest(extents) + timedelta(minutes=4)))
 
 
 @query
 def layer_counts(spark, sf):
-    raw, deep = inputs.raw_trades(spark, sf), inputs.raw_depth(spark, sf)
-    stg = trade_ops.stg_trades(raw)
-    return slo.layer_counts(
+    """Rows per layer out of the statistics of the maintained tables."""
+    deep = inputs.level_count().alias("levels")
+    extents = {name: _extents(spark, sf, name) for name in ("raw_trades", "fct_trades", "fct_ohlcv_1min", "fct_depth_snapshots")}
+    of_depth = _extents(spark, sf, "raw_depth", F.sum(deep).alias("levels"))
+    return summaries.layer_counts(
         {
-            "raw_trades": raw,
-            "raw_depth": deep,
-            "stg_trades": stg,
-            "stg_depth_levels": depth.stg_depth_levels(deep),
-            "fct_trades": trade_ops.enrich_trades(stg),
-            "fct_ohlcv_1min": bar_ops.ohlcv(stg),
-            "fct_depth_snapshots": facts.fct_depth_snapshots(deep),
+            "raw_trades": (extents["raw_trades"], "n"),
+            "raw_depth": (of_depth, "n"),
+            "stg_trades": (extents["fct_trades"], "n"),
+            "stg_depth_levels": (of_depth, "levels"),
+            "fct_trades": (extents["fct_trades"], "n"),
+            "fct_ohlcv_1min": (extents["fct_ohlcv_1min"], "n"),
+            "fct_depth_snapshots": (extents["fct_depth_snapshots"], "n"),
         }
     )
 
 
 @query
 def raw_extent(spark, sf):
-    return slo.raw_extent(
-        {"raw_trades": inputs.raw_trades(spark, sf), "raw_depth": inputs.raw_depth(spark, sf)}
-    )
+    return summaries.raw_extent({name: _extents(spark, sf, name) for name in ("raw_trades", "raw_depth")})
 
 
 @query
@@ -694,6 +743,16 @@ def hourly_usage(spark, sf):
     return slo.hourly_rollup(events, "ts", "value", latest(events, "ts"))
 
 
+@query
+def market_views_sql(spark, sf):
+    """The registered views, joined by SQL."""
+    live.as_view(minute_bars(spark, sf), "bars_1min")
+    live.as_view(_live_books(spark, sf), "orderbook_metrics_live")
+    return spark.sql(
+        "SELECT 'bars' AS view_name, count(*) AS n FROM bars_1min UNION ALL SELECT 'books', count(*) FROM orderbook_metrics_live"
+    )
+
+
 @query
 def feed_health(spark, sf):
     beats = inputs.heartbeats(spark, sf)
@@ -794,7 +853,7 @@ def dq_unique_symbol_minute(spark, sf):
 @query
 def dq_book_invariants(spark, sf):
     """Snapshots mixed by day of receipt show crossed books; true snapshots do not."""
-    lv = levels_table(spark, sf)
+    lv = inputs.warehouse(spark, sf).fact("fct_depth_snapshots").drop("notional", "id_range")
     mixed = book.book_agg(
         lv.withColumn("last_update_id", F.unix_date(day(F.col("ingest_time"))).cast("bigint")),
         ["symbol", "last_update_id"],
@@ -853,13 +912,12 @@ REQUIRED = {
 
 @query
 def dq_report(spark, sf):
-    """All checks of all layers: the row rules of a table in one pass over it, keys by one aggregate each."""
-    raw, deep = inputs.raw_trades(spark, sf), inputs.raw_depth(spark, sf)
-    stg = stored(trade_ops.enrich_trades(trade_ops.stg_trades(raw)), "trades")
-    bars = stored(bar_ops.ohlcv(stg), "bars_1min")
-    lv = stored(depth.unique_depth_levels(deep), "levels")
-    live_bars = live.ohlcv_live(stg, latest(stg, "traded_at"))
-    live_books = book.orderbook_live(lv, last_ingest(lv), MONTH)
+    """All checks of all layers on the maintained tables: the row rules of a table in one pass over it, keys by one aggregate each."""
+    house = inputs.warehouse(spark, sf)
+    stg, bars, lv = (house.fact(name) for name in ("fct_trades", "fct_ohlcv_1min", "fct_depth_snapshots"))
+    ids = house.raw("trades").select(msg.path("data.s", "string").alias("symbol"), msg.path("data.t", "bigint").alias("trade_id"))
+    live_bars = live.ohlcv_live(stg, _newest(_extents(spark, sf, "fct_trades"), "traded_at"))
+    live_books = _live_books(spark, sf)
     rows = [
         (stg, quality.column_rules("trades", REQUIRED["trades"], {"taker_side": ["buy", "sell"]})
          + [("trades positive", "error", quality.trades_not_positive(with_value=True))]),
@@ -873,7 +931,7 @@ def dq_report(spark, sf):
     ]
     keys = [
         ("trades unique", "error", quality.duplicate_keys(stg, ["trade_uid"])),
-        ("raw trades unique", "warn", quality.duplicate_keys(trade_ops.flatten_trades(raw), ["symbol", "trade_id"])),
+        ("raw trades unique", "warn", quality.duplicate_keys(ids, ["symbol", "trade_id"])),
         ("bars unique", "error", quality.duplicate_keys(bars, ["symbol", "minute"])),
         ("levels unique", "error", quality.duplicate_keys(lv, ["symbol", "last_update_id", "side", "level"])),
         ("live bars unique", "error", quality.duplicate_keys(live_bars, ["symbol", "minute"])),
@@ -906,12 +964,30 @@ def table_profile(spark, sf):
     return quality.profile(stg, columns)
 
 
+@query
+def table_profile_sketched(spark, sf):
+    """The profile out of facts per day; estimates of distinct values are told as whether they are within 3 %."""
+    columns = {"symbol": "string", "trade_id": "bigint", "price": "decimal(38,8)", "quantity": "decimal(38,8)", "is_buyer_market_maker": "boolean"}
+    house = inputs.warehouse(spark, sf)
+    kept = house.summary("column_facts", house.fact_path("fct_trades"), "trade_date", summaries.column_facts("trade_date", list(columns)))
+    exact = quality.profile(house.fact("fct_trades"), list(columns)).select("column_name", F.col("distinct_values").alias("_exact"))
+    near = F.abs(F.col("distinct_values") - F.col("_exact")) <= 0.03 * F.col("_exact")
+    found = summaries.profile(kept, columns).join(exact, "column_name")
+    return found.select("column_name", "min_value", "max_value", "nulls", near.alias("distinct_in_bound"))
+
+
 # ---------------------------------------------------------------- drift
 
 
 def _profiles(spark, sf):
-    of_trades = drift.key_profile(inputs.raw_trades(spark, sf), "RAW_TRADES")
-    return of_trades.unionByName(drift.key_profile(inputs.raw_depth(spark, sf), "RAW_DEPTH"))
+    """Keys of the last 24 hours of each raw table, out of the profiles per minute of the days that this reaches."""
+    house, found = inputs.warehouse(spark, sf), None
+    for target in ("trades", "depth"):
+        keys = house.summary(f"{target}_keys", house.raw_path(target), "ingest_date", summaries.key_minutes("ingest_date"))
+        as_of = _newest(_extents(spark, sf, f"raw_{target}"))
+        one = summaries.key_profile(keys, house.raw(target), f"RAW_{target.upper()}", as_of, unit=house.UNIT[target])
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 @query
@@ -990,6 +1066,16 @@ def anomaly_train(spark, sf):
     return plain(model.withColumn("hour", F.coalesce(F.col("hour"), F.lit(-1))), "mean", "deviation")
 
 
+@query
+def anomaly_model_daily(spark, sf):
+    """The model of the seven days before the newest, merged from the moments of each day."""
+    house = inputs.warehouse(spark, sf)
+    moments = house.summary("moments", house.fact_path("fct_ohlcv_1min"), "bar_date", summaries.volume_moments("bar_date"))
+    newest_day = moments.agg(F.max("bar_date")).scalar()
+    model = summaries.volume_model(moments, F.date_sub(newest_day, 7), F.date_sub(newest_day, 1))
+    return plain(model.withColumn("hour", F.coalesce(F.col("hour"), F.lit(-1))), "mean", "deviation")
+
+
 SCORES = ["forecast", "lower_bound", "upper_bound", "distance"]
 
 
@@ -1108,11 +1194,45 @@ def stream_dual_sink(spark, sf):
     )
 
 
+@query
+def stream_ingest_counters(spark, sf):
+    """Counters of all batches of a stream into both raw tables, which is stopped and started again on the way."""
+    with stream_settings(spark):
+        both = inputs.trade_messages(spark, sf).unionByName(inputs.depth_messages(spark, sf))
+        path = inputs.arrival_files(both, "messages", CUTS)
+        out = work_dir(spark, "counted")
+        for _ in range(2):
+            stream_ingest.write_raw(
+                stream_ingest.stream_messages(spark, path, max_files=8),
+                f"{out}/trades",
+                f"{out}/depth",
+                f"{out}/checkpoint",
+                unit="year",
+                counters_path=f"{out}/counters",
+                availableNow=True,
+            ).awaitTermination()
+    return stream_ingest.counters(spark, f"{out}/counters")
+
+
 @query
 def stream_dedup_trades(spark, sf):
     with stream_settings(spark):
-        unique = stream_bars.unique_trades(trade_stream(spark, sf))
-        return plain(stored_stream(unique, "unique_trades").drop("ingest_time"))
+        unique = stream_firsts.first_trades(trade_stream(spark, sf), span_seconds=21_600)
+        return plain(stored_stream(unique, "unique_trades").drop("corrects"))
+
+
+@query
+def stream_latest_books(spark, sf):
+    """Newest books kept by a stream, read with the live window."""
+    with stream_settings(spark):
+        cuts = [datetime(1996, 1, 1), datetime(1999, 1, 1)]
+        path = inputs.arrival_files(inputs.depth_messages(spark, sf), "depth_messages", cuts)
+        routed = msg.route(stream_ingest.stream_messages(spark, path, max_files=8))
+        out = work_dir(spark, "stream_books")
+        raw = routed.filter(F.col("route") == "depth").select("record", "ingest_time")
+        newest.stream_books(raw, f"{out}/books", f"{out}/checkpoint", availableNow=True).awaitTermination()
+    books = tables.read_table(spark, f"{out}/books")
+    return plain(newest.orderbook_live(spark, f"{out}/books", last_ingest(books), MONTH))
 
 
 @query
@@ -1149,24 +1269,20 @@ def stream_orderbook(spark, sf):
         path = inputs.arrival_files(inputs.depth_messages(spark, sf), "depth_messages", cuts)
         routed = msg.route(stream_ingest.stream_messages(spark, path, max_files=8))
         raw = routed.filter(F.col("route") == "depth").select("record", "ingest_time")
-        return plain(stored_stream(stream_book.stream_orderbook(raw), "books").drop("ingest_time"))
+        return plain(stored_stream(stream_book.stream_orderbook(raw), "books"))
 
 
 @query
 def stream_rsi(spark, sf):
-    """Three runs of one stream, each over the bars closed since the run before."""
+    """Hourly RSI from raw messages alone: dedup, bars and index follow each other in one query.
+
+    A bar comes out when it closes. The last file is one message of another
+    symbol, whose time, a day after all others, closes the last bars.
+    """
     with stream_settings(spark):
-        path, out, checkpoint = (work_dir(spark, n) for n in ("closed_bars", "rsi", "rsi_checkpoint"))
-        bars = hour_table(spark, sf).select("symbol", "minute", "close")
-        edges = [None, *CUTS, None]
-        for low, high in zip(edges, edges[1:]):
-            part = bars
-            if low is not None:
-                part = part.filter(F.col("minute") >= lit_ntz(low))
-            if high is not None:
-                part = part.filter(F.col("minute") < lit_ntz(high))
-            part.write.mode("append").parquet(path)
-            found = stream_rsi_ops.stream_rsi(spark.readStream.schema(bars.schema).parquet(path))
-            run = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-            run.trigger(availableNow=True).start().awaitTermination()
-    return plain(spark.read.schema(found.schema).parquet(out), "avg_gain", "avg_loss", "rsi_14")
+        path = inputs.arrival_files(inputs.trade_messages(spark, sf), "trade_messages", CUTS)
+        inputs.clock_message(spark, sf).write.mode("append").parquet(path)
+        routed = msg.route(stream_ingest.stream_messages(spark, path, max_files=8))
+        raw = routed.filter(F.col("route") == "trades").select("record", "ingest_time")
+        found = stored_stream(stream_rsi_ops.stream_rsi_of_trades(raw, width="1 hour"), "rsi")
+    return plain(found, "avg_gain", "avg_loss", "rsi_14")
