@@ -144,10 +144,13 @@ def train(
 
 
 def identify(docs: DataFrame, model: Model | None, keep: list[Column], text: str = "text") -> DataFrame:
-    """``keep`` and lang_pred, score of each row's whole text.
+    """``keep`` and lang_pred, score, claim of each row's whole text.
 
     The score is the best margin's share: margins are mapped from -1..1 to 0..1
-    and divided by their sum. A null text or one without a letter is ``und`` with
+    and divided by their sum. The claim is the best margin so mapped, by itself: it
+    doesn't fall as languages are added, and 0.5 is where a language's regression
+    takes the text for its own as much as for another's. Equal margins go to the
+    first language in order; texts of any length count whole. A null text or one without a letter is ``und`` with
     score 0, and so is all if there was nothing to learn from. Texts are scored
     in batches, by one matrix product each.
     """
@@ -155,7 +158,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[Column], text: str
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     source = docs.select(*keep, F.when(letters, F.col(text)).alias("__text"))
-    schema = StructType([*source.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*source.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("claim", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -164,15 +167,17 @@ def identify(docs: DataFrame, model: Model | None, keep: list[Column], text: str
                 part = batch.slice(at, BATCH)
                 texts = part.column(part.num_columns - 1)
                 known = [i for i in range(part.num_rows) if m is not None and texts[i].is_valid]
-                best, value = ["und"] * part.num_rows, [0.0] * part.num_rows
+                best, value, claim = ["und"] * part.num_rows, [0.0] * part.num_rows, [0.0] * part.num_rows
                 if known:
                     p = np.clip((m.margins(np.array([presence(texts[i].as_py()) for i in known])) + 1) / 2, 0, 1).astype(np.float64)
                     top, total = p.argmax(1), p.sum(1)
                     for i, k, t, row in zip(known, top, total, p):
                         best[i] = m.languages[k]
                         value[i] = float(row[k] / t) if t > 0 else 0.0
+                        claim[i] = float(row[k])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(best, pa.string()), pa.array(value, pa.float64())], names=[*part.schema.names[:-1], "lang_pred", "score"]
+                    [*part.columns[:-1], pa.array(best, pa.string()), pa.array(value, pa.float64()), pa.array(claim, pa.float64())],
+                    names=[*part.schema.names[:-1], "lang_pred", "score", "claim"],
                 )
 
     return source.mapInArrow(score, schema)

@@ -9,13 +9,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import parts, text_bytes
 
+PLACES = ["sequence_id", "offset", "sequence_tokens", "padded_length"]
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -188,16 +189,17 @@ def pack(
     total, rows = text_bytes(docs, text)
     buckets = parts(total + rows, bucket_bytes)
 
-    def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable", ignore_index=True)
-        number, offset = best_fit_decreasing(pdf["length"].to_numpy(), window)
-        used = np.bincount(number, weights=pdf["length"].to_numpy()).astype(np.int64)[number]
-        pdf["sequence_id"] = (int(key[0]) << 40) + number
-        pdf["offset"] = offset
-        pdf["sequence_tokens"] = used
-        pdf["padded_length"] = np.where(used & (used - 1), window, used)
-        return pdf.drop(columns="bucket")
+    def fill(key: tuple, table: pa.Table) -> pa.Table:
+        order = pc.sort_indices(table, sort_keys=[("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        table = table.take(order).drop_columns(["bucket"])
+        lengths = table["length"].to_numpy()
+        number, offset = best_fit_decreasing(lengths, window)
+        used = np.bincount(number, weights=lengths).astype(np.int64)[number]
+        made = [(key[0].as_py() << 40) + number, offset, used, np.where(used & (used - 1), window, used)]
+        for name, values in zip(PLACES, made):
+            table = table.append_column(name, pa.array(values, pa.int64()))
+        return table
 
     cut = pieces(docs, tokenizer, window, end_id, id, text)
     dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInPandas(fill, PIECES + ", sequence_id bigint, offset bigint, sequence_tokens bigint, padded_length bigint")
+    return dealt.groupBy("bucket").applyInArrow(fill, PIECES + "".join(f", {name} bigint" for name in PLACES))

@@ -81,3 +81,9 @@ def test_every_id_lies_in_one_piece(spark, window):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_large_ids_beside_a_null_stay_exact(spark):
+    rows = [(2**53 + 1, "one two"), (2**53 + 3, "three"), (None, "no id")]
+    got = pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 2**53 + 1, 2**53 + 3]
