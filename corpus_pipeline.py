@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from marketflow.llm import decontaminate, langid, linededup, packing, simhash
 from marketflow.llm.common import stored, table
 
-#: A document goes if no language gets more than this; with four languages a fourth would be chance.
-LEAST_SCORE = 0.3
+#: A document goes if no language's own margin, mapped to 0..1, reaches this. It doesn't depend on how many languages there are.
+LEAST_CLAIM = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = langid.identify(docs, model, [row])
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return found.filter((F.col("lang_pred") != "und") & (F.col("claim") >= LEAST_CLAIM)).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Kernels, fingerprints, spaced seeds and token ids have no counterpart in SQL; the tests hold each
+# Kernels, fingerprints, seeds and token ids have no counterpart in SQL; the tests hold each
 # stage against a brute-force version instead.
 ORACLE_SQL = None
 
