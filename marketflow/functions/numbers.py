@@ -85,9 +85,14 @@ WHOLE = "decimal(38,0)"
 UNIT = 100_000_000
 
 
+def negative(x: Column) -> Column:
+    """``-x`` of a published number; Spark's own negation and ``abs`` keep 34 digits only."""
+    return (F.lit(0).cast("decimal(1,0)") - x.cast(EXACT)).cast(EXACT)
+
+
 def _units(x: Column) -> Column:
     """How many eighth decimals a published number below 10^29 has, as a whole number without its sign."""
-    size = F.abs(x.cast(EXACT))
+    size = F.when(x < 0, negative(x)).otherwise(x.cast(EXACT))
     whole = F.floor(size).cast("decimal(29,0)")
     part = (size - whole).cast("decimal(8,8)")
     return (whole * F.lit(UNIT).cast("decimal(9,0)")).cast(WHOLE) + (part * F.lit(UNIT).cast("decimal(9,0)")).cast("decimal(9,0)")
@@ -125,4 +130,4 @@ def long_quotient(numerator: Column, denominator: Column, scale: int = 1) -> Col
     # the array binds the result once
     both = F.transform(F.array(units), lambda u: ((u - (u % UNIT)) / UNIT).try_cast("decimal(29,0)") + ((u % UNIT).cast("decimal(9,0)") / F.lit(UNIT).cast("decimal(9,0)")).cast("decimal(8,8)"))
     size = published(F.get(both, F.lit(0)))
-    return F.when((numerator < 0) != (denominator < 0), -size).otherwise(size).cast(PUBLISHED)
+    return F.when((numerator < 0) != (denominator < 0), published(negative(size))).otherwise(size)
