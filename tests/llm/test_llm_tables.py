@@ -115,6 +115,58 @@ def test_a_variable_field_may_vary(spark):
     assert all("we ask" not in got[i].text for i in range(1, 6)) and "we ask" in got[0].text
 
 
+def distinct_lines(i, n=4):
+    """Lines that no other document has."""
+    rng = random.Random(1000 + i)
+    return ["".join(rng.choices("bdfgklmnprst", k=rng.randrange(3, 9))) + " " + " ".join("".join(rng.choices("aeioubdgkls", k=rng.randrange(3, 12))) for _ in range(9)) for _ in range(n)]
+
+
+def test_a_group_of_copies_shields_no_passage(spark):
+    passage = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(55))
+    rows = [(i, "\n".join([*distinct_lines(i), passage])) for i in range(40)]
+    rows += [(1000 + i, "\n".join([*distinct_lines(999), passage])) for i in range(400)]
+    got = lines_of(spark, rows)
+    assert got[0].text == rows[0][1]
+    assert all(got[i].text == "\n".join(distinct_lines(i)) for i in range(1, 40))
+    assert all(got[1000 + i].text == "\n".join(distinct_lines(999)) for i in range(400))
+
+
+def test_copies_of_the_first_keep_what_it_keeps(spark):
+    foot = "this board is kept by its members since long ago"
+    rows = [(i, "\n".join([*distinct_lines(0), foot])) for i in range(5)] + [(10 + i, "\n".join([*distinct_lines(10 + i), foot])) for i in range(6)]
+    got = lines_of(spark, rows)
+    assert all(got[i].text == rows[0][1] for i in range(5)) and all(foot not in got[10 + i].text for i in range(6))
+
+
+def test_near_copies_keep_their_lines(spark):
+    lines = distinct_lines(1, 12)
+    rows = [(i, "\n".join(line if k != i % 12 else line.replace(line.split()[5], f"edit{chr(97 + i // 26)}{chr(97 + i % 26)}", 1) for k, line in enumerate(lines))) for i in range(60)]
+    got = lines_of(spark, rows)
+    assert all(got[i].text == text for i, text in rows)
+
+
+def test_lines_of_a_block_do_not_hide_one_another(spark):
+    block = ["all pages of this site are", "maintained at incomprehensibilitiesandmore.example.org/longest", "by people who like it a lot"]
+    rows = [(i, "\n".join([*distinct_lines(i), *block])) for i in range(30)]
+    got = lines_of(spark, rows)
+    assert got[0].text == rows[0][1] and all(got[i].text == "\n".join(distinct_lines(i)) for i in range(1, 30))
+
+
+def test_unspaced_scripts_and_short_lines_recur(spark):
+    foot, short = "本网站的所有内容均由会员提供转载时请注明出处并保留原文链接谢谢", "Subscribe immediately"
+    rows = [(i, "\n".join([*distinct_lines(i), foot, short, "ok"])) for i in range(8)]
+    got = lines_of(spark, rows)
+    assert got[0].text == rows[0][1] and all(got[i].text == "\n".join([*distinct_lines(i), "ok"]) for i in range(1, 8))
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    foot = "this board is kept by its members since long ago"
+    rows = [(i, "\n".join([foot, *distinct_lines(i)])) for i in range(6)] + [(5, "\n".join(distinct_lines(50)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(r.text for r in linededup.clean(docs).filter("doc_id = 5").collect())
+    assert got == sorted(["\n".join(distinct_lines(5)), "\n".join(distinct_lines(50))])
+
+
 # sharding
 
 
