@@ -22,7 +22,7 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return out.filter("a != b").distinct()
 
 
-def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node with a link: root is the least node it reaches.
 
     ``edges``: columns a, b. Each round is two joins; the number of rounds grows
@@ -31,7 +31,7 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "links")
     state = None
-    for _ in range(most_rounds):
+    while True:
         # large star: what is above a node links to its least neighbour; small star: so does what is below
         large = _star(now, small=False)
         now = stored(_star(large, small=True), "links")
@@ -39,4 +39,3 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if said == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         state = said
-    raise RuntimeError("components did not settle")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import parts, stored
@@ -252,6 +252,12 @@ def _describe(text: str | None, words: int, keys: int) -> tuple[int, bytes, int]
     return majority(hashes), np.unique(hashes)[:keys].tobytes(), len(hashes)
 
 
+def copy_digest(text: Column) -> Column:
+    """What copies have in common: a digest of the text without regard to case (A-Z) and blanks."""
+    plain = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.md5(F.trim(F.regexp_replace(plain, r"[ \t\n\x0B\f\r]+", " ")))
+
+
 def near_copies(
     docs: DataFrame,
     words: int = 5,
@@ -263,7 +269,10 @@ def near_copies(
     id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, component_id): documents linked by texts whose shingle sets have a Jaccard likeness of ``similarity``.
+    """(doc_id, component_id, digest, stays): documents linked by texts whose shingle sets have a Jaccard likeness of ``similarity``.
+
+    ``digest`` is the text's ``copy_digest``; with the id it tells which row is
+    meant. Of a component the text of the least id ``stays``, under that id.
 
     Texts that alike differ in up to ``slack`` of 64 SimHash bits, a radius at
     which balls around any vantage point overlap all shards of a tree over the
@@ -284,8 +293,9 @@ def near_copies(
     all pairs of a group.
 
     Null text is empty; texts without words are copies of one another. A null
-    doc_id takes part and never names a component. Repeated rows come out as often
-    as they came in. Empty table: no rows. Other columns aren't looked at.
+    doc_id takes part and never names a component unless all of it are null.
+    Different texts under one id are different documents. Repeated rows come out
+    as often as they came in. Empty table: no rows. Other columns aren't looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,28 +306,28 @@ def near_copies(
             size = pa.array([n for _, _, n in got], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp, pa.int64()), pa.array(low, pa.list_(pa.int64())), size], names=["doc_id", "digest", "fp", "keys", "size"])
 
-    texts = F.coalesce(F.col(text), F.lit(""))
-    ids = docs.select(F.col(id).cast("bigint").alias("doc_id"), texts.alias("text"), F.md5(F.trim(F.regexp_replace(F.translate(texts, string.ascii_uppercase, string.ascii_lowercase), r"[ \t\n\x0B\f\r]+", " "))).alias("digest"))
+    ids = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), copy_digest(F.col(text)).alias("digest"))
     found = stored(ids.mapInArrow(run, "doc_id bigint, digest string, fp bigint, keys array<bigint>, size bigint"), "copies")
-    distinct = stored(found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("size").alias("size")).filter("first IS NOT NULL"), "copies_distinct")
+    one = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys"), F.min("size").alias("size"))
+    distinct = stored(one.withColumn("node", F.monotonically_increasing_id()), "copies_distinct")  # numbers are settled once they are stored
 
-    placed = distinct.select("first", "fp", F.explode("keys").alias("key"))
-    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("head")).filter("n > 1")
-    own = placed.join(shared.filter(F.col("n") <= shard_points), "key").select("key", "first", "fp")
+    placed = distinct.select("node", "fp", F.explode("keys").alias("key"))
+    shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).filter("n > 1")
+    own = placed.join(shared.filter(F.col("n") <= shard_points), "key").select("key", "node", "fp")
     # texts of a hot key are one group without a look at their fingerprints; each pair is compared there
-    hubs = placed.join(shared.filter(F.col("n") > shard_points), "key").select(F.col("first").alias("a"), F.col("head").alias("b"))
+    hubs = placed.join(shared.filter(F.col("n") > shard_points), "key").select(F.col("node").alias("a"), F.col("head").alias("b"))
 
     def links(table: pa.Table) -> pa.Table:
-        first, fp = table["first"].to_numpy(), table["fp"].to_numpy().view(np.uint64)
+        node, fp = table["node"].to_numpy(), table["fp"].to_numpy().view(np.uint64)
         a, b = closest_forests(fp, slack, 1)
-        return pa.table({"a": pa.array(first[a], pa.int64()), "b": pa.array(first[b], pa.int64())})
+        return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
 
     near = own.groupBy("key").applyInArrow(links, "a bigint, b bigint")
     candidates = stored(near.union(hubs).filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "copies_candidates")
 
     groups = connected(candidates)
-    members = distinct.join(groups, distinct["first"] == groups["node"]).select(F.col("root").alias("group"), F.col("first").alias("id"), "fp", "size")
-    members = stored(members.groupBy("group", "id").agg(F.min("fp").alias("fp"), F.max("size").alias("size")), "copies_members")
+    members = distinct.join(groups, "node").select(F.col("root").alias("group"), F.col("node").alias("id"), "fp", "size", "first", F.col("digest").alias("text_digest"))
+    members = stored(members, "copies_members")
 
     def in_parts(rows: DataFrame) -> DataFrame:
         # how many parts the rows of each group make
@@ -329,7 +339,7 @@ def near_copies(
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], made], names=["group", "id", "fp", "part", "set"])
 
     placed = members.join(in_parts(members), "group").withColumn("part", F.pmod(F.xxhash64("id", "group"), F.col("parts")))
-    whole = ids.join(placed, ids["doc_id"] == placed["id"]).dropDuplicates(["doc_id"]).select("group", "id", "fp", "part", "text")
+    whole = ids.join(placed, ids["doc_id"].eqNullSafe(placed["first"]) & (ids["digest"] == placed["text_digest"])).dropDuplicates(["id"]).select("group", "id", "fp", "part", "text")
     whole = stored(whole.mapInArrow(sets, "group bigint, id bigint, fp bigint, part bigint, set array<int>"), "copies_sets")
 
     def alike(table: pa.Table, across: bool = False) -> pa.Table:
@@ -360,8 +370,11 @@ def near_copies(
         across = near.union(far).groupBy("group", "part", "block").applyInArrow(lambda t: alike(t, across=True), "a bigint, b bigint")
         good = good.union(across)
     roots = connected(good)
-    of = distinct.join(roots, distinct["first"] == roots["node"], "left").select("digest", F.coalesce("root", "first").alias("component_id"))
-    return found.join(of, "digest", "left").select("doc_id", "component_id")
+    of = distinct.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
+    least = of.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "digest")).alias("least"))
+    of = of.join(least, "root").select("digest", F.col("least.first").alias("component_id"), (F.col("digest") == F.col("least.digest")).alias("kept"))
+    stays = F.col("kept") & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.join(of, "digest").select("doc_id", "component_id", "digest", stays.alias("stays"))
 
 
 def alike_forest(

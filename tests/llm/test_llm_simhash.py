@@ -1,13 +1,15 @@
 """SimHash groups against a plain double loop."""
 
+import random
 import re
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from marketflow.llm.components import connected
-from marketflow.llm.simhash import Router, alike_forest, closest_forests, fingerprint, forest, links_within, near_copies, near_duplicates
+from marketflow.llm.simhash import Router, alike_forest, closest_forests, copy_digest, fingerprint, forest, links_within, near_copies, near_duplicates
 
 
 def plain(text):
@@ -130,6 +132,17 @@ def test_closest_forest_spans_what_the_links_span():
     assert len(a) < len(more[0]) <= 3 * len(points)
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(3)
+    a, b = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(80)) for _ in range(2))
+    rows = [(3, b), (8, a), (8, b), (9, a + " q"), (None, a), (None, "text of no id and no copies at all")]
+    got = {(r.doc_id, r.digest): (r.component_id, r.stays) for r in near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    of = {t: r.d for t, r in zip([a, b, a + " q", rows[-1][1]], spark.createDataFrame([(i, t) for i, t in enumerate([a, b, a + " q", rows[-1][1]])], "i int, t string").select("i", copy_digest(F.col("t")).alias("d")).orderBy("i").collect())}
+    assert got[3, of[b]] == (3, True) and got[8, of[b]] == (3, False)
+    assert got[8, of[a]] == (8, True) and got[9, of[a + " q"]] == (8, False) and got[None, of[a]] == (8, False)
+    assert got[None, of[rows[-1][1]]] == (None, True)
+
+
 def test_near_copies_equal_a_double_loop(spark):
     rng = np.random.default_rng(11)
     words = [f"w{i}" for i in range(900)]

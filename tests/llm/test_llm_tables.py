@@ -240,6 +240,15 @@ def test_stages(spark):
         assert empty.count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    a, b = (" ".join(x for k in range(3) for x in distinct_lines(2000 + i, 3)) for i in range(2))
+    rows = [(3, b), (8, a), (8, b), (9, a + " q"), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS digest", "2 AS stays", "3 AS __gone1")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in out.collect()} == {(3, b), (8, a), (None, a)}
+
+
 def test_run_gives_the_stages_rows(spark):
     got = corpus_pipeline.run(spark, SF).toPandas()
     assert Counter(got.columns)["sequence_id"] == 1 and len(got) and (got.groupby("sequence_id")["length"].sum() <= 1024).all()
