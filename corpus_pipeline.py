@@ -38,10 +38,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id of each group of copies and near copies; rows without an id stay."""
-    groups = simhash.near_copies(docs)
-    gone = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """Keeps the document of the least id of each group of copies and near copies.
+
+    Rows without an id stay. Different texts under one id are judged apart; rows
+    that repeat id and text stay or go together. Null texts are empty.
+    """
+    groups = simhash.near_copies(docs).filter(~F.col("stays") & F.col("doc_id").isNotNull())
+    gone = groups.select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__digest")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["__gone"]) & (simhash.copy_digest(docs["text"]) == gone["__digest"]), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
