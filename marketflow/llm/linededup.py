@@ -23,8 +23,7 @@ OWN = 8
 
 
 def masked(line: Column) -> Column:
-    """A line with its tokens that hold a digit masked, and single spaces; letters of unspaced scripts stand alone."""
-    line = F.when(line.rlike(f"[{UNSPACED}]"), F.regexp_replace(line, f"([{UNSPACED}])", " $1 ")).otherwise(line)
+    """A line with its tokens that hold a digit masked, and single spaces."""
     variable = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(^|[ \t\r\f])[^ \t\r\f0-9]*+[0-9][^ \t\r\f]*+", "$1<*>")).otherwise(line)
     spaced = F.contains(line, F.lit("  "))
     for blank in "\t\r\f":
@@ -108,7 +107,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     base = docs.select(F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
-    lines = base.select("doc", F.xxhash64("text").alias("d"), F.transform(F.split("text", "\n", -1), masked).alias("lines"))
+    # letters of unspaced scripts stand alone
+    apart = _let(F.col("text"), lambda t: F.when(t.rlike(f"[{UNSPACED}]"), F.regexp_replace(t, f"([{UNSPACED}])", " $1 ")).otherwise(t))
+    lines = base.select("doc", F.xxhash64("text").alias("d"), F.transform(F.split(apart, "\n", -1), masked).alias("lines"))
     lines = lines.withColumn("lines", F.transform("lines", lambda x: F.struct(F.length(x).alias("chars"), F.filter(F.split(x, " "), lambda w: w != "").alias("t"))))
 
     def measured(x):
@@ -116,27 +117,32 @@ def dedup_lines(docs: DataFrame, min_docs: int = 4, long_tokens: int = 50, long_
 
     hashed = stored(lines.select("doc", "d", F.transform("lines", measured).alias("lines")), "line_keys")
     placed = hashed.select("d", F.posexplode("lines").alias("line", "x")).select("d", "line", "x.n", "x.top", F.explode("x.keys").alias("key"))
-    shared = placed.groupBy("key").agg(F.countDistinct("d").alias("texts")).filter("texts > 1")
-    hits = placed.join(shared, "key").select("d", F.struct("line", "texts", "key", "n", "top").alias("x")).groupBy("d").agg(F.sort_array(F.collect_set("x")).alias("hits"))
+    shared = placed.groupBy("key").agg(F.countDistinct("d").alias("texts")).filter("texts > 1").select("key", _level(F.col("texts")).alias("level"))
+    hits = placed.join(shared, "key").select("d", F.struct("line", "level", "key", "n", "top").alias("x")).groupBy("d").agg(F.sort_array(F.collect_set("x")).alias("hits"))
     tops = F.transform("lines", lambda x, i: F.struct(i.alias("line"), x["top"].alias("top")))
     whole = hashed.select("doc", "d", F.aggregate("lines", F.lit(0), lambda a, x: a + x["n"]).alias("total"), tops.alias("tops"))
     whole = whole.groupBy("d").agg(F.min("doc").alias("doc"), F.max("total").alias("total"), F.first("tops").alias("tops"))
     # of each line its most frequent template, which sorts last
-    last = F.filter("hits", lambda x, i: ~F.coalesce(F.get(F.col("hits"), i + 1)["line"] == x["line"], F.lit(False)))
-    near = hits.join(whole, "d").withColumn("widest", last)
-    own = F.array_except("tops", F.transform("widest", lambda x: F.struct(x["line"].alias("line"), x["top"].alias("top"))))
-    near = near.withColumn("own", _two(F.transform(own, lambda x: x["top"])))
-    highest = F.array_max(F.transform("widest", lambda x: _level(x["texts"])))
-
-    def rarer(level):
-        wide = F.filter("widest", lambda x: _level(x["texts"]) >= level)
-        rare = F.filter("widest", lambda x: _level(x["texts"]) < level)
-        weight = F.col("total") - F.aggregate(wide, F.lit(0), lambda a, x: a + x["n"])
-        return F.when(weight * OWN >= F.col("total"), F.xxhash64(_two(F.concat(F.col("own"), F.transform(rare, lambda x: x["top"])))))
-
-    near = near.withColumn("contexts", F.transform(F.sequence(F.lit(1), highest), rarer))
-    kept = F.transform("hits", lambda x: F.struct(x["line"].alias("line"), x["key"].alias("key"), (x["n"] >= long_tokens).alias("long"), F.get(F.col("contexts"), _level(x["texts"]) - 1).alias("context")))
-    near = stored(near.select("d", "doc", kept.alias("hits")), "line_hits")
+    widest = F.filter("hits", lambda x, i: ~F.coalesce(F.get(F.col("hits"), i + 1)["line"] == x["line"], F.lit(False)))
+
+    def contexts(v):
+        # v holds the values that every level uses, computed once
+        def rarer(level):
+            weight = F.col("total") - F.aggregate(v["widest"], F.lit(0), lambda a, x: a + F.when(x["level"] >= level, x["n"]).otherwise(0))
+            rare = F.transform(F.filter(v["widest"], lambda x: x["level"] < level), lambda x: x["top"])
+            return F.when(weight * OWN >= F.col("total"), F.xxhash64(_two(F.concat(v["own"], rare))))
+
+        return F.transform(F.sequence(F.lit(1), F.array_max(F.transform(v["widest"], lambda x: x["level"]))), rarer)
+
+    def with_own(w):
+        own = F.array_except("tops", F.transform(w, lambda x: F.struct(x["line"].alias("line"), x["top"].alias("top"))))
+        return F.struct(w.alias("widest"), _two(F.transform(own, lambda x: x["top"])).alias("own"))
+
+    near = hits.join(whole, "d").select("d", "doc", "hits", _let(_let(widest, with_own), contexts).alias("contexts"))
+    def judged(contexts):
+        return F.transform("hits", lambda x: F.struct(x["line"].alias("line"), x["key"].alias("key"), (x["n"] >= long_tokens).alias("long"), F.get(contexts, x["level"] - 1).alias("context")))
+
+    near = stored(near.select("d", "doc", _let(F.col("contexts"), judged).alias("hits")), "line_hits")
 
     once = F.array_distinct(F.transform("hits", lambda x: F.struct(x["key"].alias("key"), x["long"].alias("long"), x["context"].alias("context"))))
     first = F.struct(F.col("doc").isNull().alias("none"), "doc", "d").alias("first")
