@@ -124,11 +124,15 @@ def key_minutes(partition: str) -> Summarise:
     return summarise
 
 
-def key_profile(summary: DataFrame, raw: DataFrame, source_table: str, as_of: datetime, hours: int = 24, partition: str = "ingest_date", unit: str = "day") -> DataFrame:
+def key_profile(
+    summary: DataFrame, raw: DataFrame, source_table: str, as_of: datetime | None = None, hours: int = 24, partition: str = "ingest_date", unit: str = "day"
+) -> DataFrame:
     """``drift.key_profile`` of the last hours up to ``as_of``: whole minutes from the summary, the rest of the first and the last from ``raw``.
 
-    ``unit``: the span of one partition of both.
+    Without ``as_of`` overall, from the summary alone. ``unit``: the span of one partition of both.
     """
+    if as_of is None:
+        return _counted(summary, source_table)
     end = at(as_of)
     since = before(as_of, hours=hours)
     first = minute_of(since + F.make_dt_interval(secs=F.lit(59.999999)))
@@ -139,8 +143,11 @@ def key_profile(summary: DataFrame, raw: DataFrame, source_table: str, as_of: da
     t = F.col("ingest_time")
     outer = raw.filter(reached & (t >= since) & (t <= end) & ((t < first) | (t >= last)))
     ends = flatten_keys(outer).select("key_name", value_type(F.col("value")).alias("value_type"), F.lit(1).cast("bigint").alias("occurrences"))
-    both = whole.select("key_name", "value_type", "occurrences").unionByName(ends)
-    return both.groupBy("key_name", "value_type").agg(F.sum("occurrences").alias("occurrences")).select(F.lit(source_table).alias("source_table"), "*")
+    return _counted(whole.select("key_name", "value_type", "occurrences").unionByName(ends), source_table)
+
+
+def _counted(keys: DataFrame, source_table: str) -> DataFrame:
+    return keys.groupBy("key_name", "value_type").agg(F.sum("occurrences").alias("occurrences")).select(F.lit(source_table).alias("source_table"), "*")
 
 
 # ---------------------------------------------------------------- latency
