@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.operators.bars import ohlcv
 from marketflow.operators.book import orderbook_snapshots
-from marketflow.operators.depth import enrich_levels, unique_depth_levels
+from marketflow.operators.depth import depth_messages, enrich_levels, explode_levels, unique_depth_levels, unique_messages
 from marketflow.operators.merge import incremental_slice, upsert, upsert_first
 from marketflow.operators.trades import enrich_trades, stg_trades
-from marketflow.sources.tables import exists, insert_first, newest, upsert_table
+from marketflow.sources.tables import affected, append, exists, insert_first, newest, persisted, upsert_table
 
 LEVEL_KEYS = ["symbol", "last_update_id", "side", "level"]
 ID_RANGE = 10_000_000
@@ -87,6 +87,10 @@ def refresh_trades_table(raw_trades: DataFrame, path: str, minutes: int = 5) ->
     insert_first(dated, path, ["symbol", "trade_id"], "trade_date")
 
 
+def _id_range() -> Column:
+    return F.floor(F.col("last_update_id") / ID_RANGE)
+
+
 def refresh_depth_table(raw_depth: DataFrame, path: str, minutes: int = 5) -> None:
     """One incremental build of the depth table.
 
@@ -94,8 +98,29 @@ def refresh_depth_table(raw_depth: DataFrame, path: str, minutes: int = 5) -> No
     still meets its first version.
     """
     recent = _since(raw_depth, "ingest_time", path, "id_range", "ingest_time", minutes)
-    ranged = fct_depth_snapshots(recent).withColumn("id_range", F.floor(F.col("last_update_id") / ID_RANGE))
-    insert_first(ranged, path, LEVEL_KEYS, "id_range")
+    spark = raw_depth.sparkSession
+    messages = unique_messages(depth_messages(recent)).withColumn("id_range", _id_range())
+    if not exists(spark, path):
+        insert_first(_dealt_levels(messages), path, LEVEL_KEYS, "id_range", spread=True)
+        return
+    with persisted(messages):
+        ids = affected(messages, path, "id_range").select(F.col("symbol").alias("_symbol"), F.col("last_update_id").alias("_id")).distinct()
+        known = ids.withColumn("_known", F.lit(True))
+        told = messages.join(known, (F.col("symbol") == F.col("_symbol")) & (F.col("last_update_id") == F.col("_id")), "left")
+        # a message without a key may meet levels without one
+        meets = F.col("_known").isNotNull() | F.col("symbol").isNull() | F.col("last_update_id").isNull()
+        # of the others no level is stored: they move as messages, and come first, since the rest may replace files that tell what is known
+        append(_dealt_levels(told.filter(~meets)), path, "id_range")
+        insert_first(_levels(told.filter(meets)), path, LEVEL_KEYS, "id_range")
+
+
+def _levels(messages: DataFrame) -> DataFrame:
+    return enrich_levels(explode_levels(messages)).withColumn("id_range", _id_range())
+
+
+def _dealt_levels(messages: DataFrame) -> DataFrame:
+    """Levels dealt to the table's partitions as whole messages, which move half of what their levels would."""
+    return _levels(messages.hint("rebalance", "id_range"))
 
 
 def refresh_bars_table(trades: DataFrame, path: str, minutes: int = 5) -> None:

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a task that writes to few partitions, as after a rebalance, need not sort its rows by them
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

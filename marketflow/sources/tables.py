@@ -36,7 +36,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def _kept(df: DataFrame):
+def persisted(df: DataFrame):
     """Keep ``df`` on the executors while several jobs read it."""
     ours = not df.is_cached
     if ours:
@@ -56,10 +56,10 @@ def _pending(path: str) -> str:
     return path.rstrip("/") + "__pending"
 
 
-def _write(df: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that occur in ``df``; rows are spread evenly over the files."""
+def _write(df: DataFrame, path: str, partition: str, spread: bool = False) -> None:
+    """Replace the partitions that occur in ``df``; rows are spread evenly over the files, unless they are ``spread`` already."""
     (
-        df.hint("rebalance", partition)
+        (df if spread else df.hint("rebalance", partition))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -171,13 +171,13 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], partition: str)
     if not exists(spark, path):
         _write(updates, path, partition)
         return
-    with _kept(updates):
+    with persisted(updates):
         merged = upsert(affected(updates, path, partition), updates, keys)
         _publish(merged.select(*updates.columns), path, partition)
 
 
 def insert_first(
-    updates: DataFrame, path: str, keys: list[str], partition: str, order: str = "ingest_time"
+    updates: DataFrame, path: str, keys: list[str], partition: str, order: str = "ingest_time", spread: bool = False
 ) -> None:
     """Merge rows of which the first version by ``order`` counts.
 
@@ -185,24 +185,27 @@ def insert_first(
     appended and nothing is rewritten. A partition is rewritten only when an
     earlier version of a stored row turns up. ``updates`` must hold each key
     once; ``partition`` is a function of the keys. Missing parts of a key are equal
-    to one another.
+    to one another. ``spread``: ``updates`` are dealt by ``partition`` already, as a new table wants it.
     """
     spark = updates.sparkSession
     recover(spark, path)
     if not exists(spark, path):
-        _write(updates, path, partition)
+        _write(updates, path, partition, spread)
         return
-    with _kept(updates):
+    with persisted(updates):
         known = affected(updates, path, partition).select(
             *(F.col(k).alias(f"_new_{k}") for k in keys), F.struct(F.col(order).alias("at")).alias("_stored")
         )
         # one look at the stored keys tells both what is new and what came earlier
-        with _kept(updates.join(known, same_key(keys), "left").select(*updates.columns, "_stored")) as met:
-            earlier = met.filter(F.col(order) < F.col("_stored.at")).select(*updates.columns)
+        with persisted(updates.join(known, same_key(keys), "left").select(*updates.columns, "_stored")) as met:
+            came_before = F.col(order) < F.col("_stored.at")
+            # told before the table changes: then Spark drops what is kept of it, and the join would run again
+            some_earlier = met.agg(F.coalesce(F.bool_or(came_before), F.lit(False))).first()[0]
+            earlier = met.filter(came_before).select(*updates.columns)
             fresh = met.filter("_stored IS NULL").select(*updates.columns)
             # a repeated job finds what it has already appended among the known keys
             fresh.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
-            if not earlier.isEmpty():
+            if some_earlier:
                 merged = upsert(affected(earlier, path, partition), earlier, keys)
                 _publish(merged.select(*updates.columns), path, partition)
 
@@ -241,8 +244,9 @@ def replace_partitions(df: DataFrame, path: str, partition: str, names: list[str
             fs.delete(_path(spark, f"{path.rstrip('/')}/{partition}={name}")[1], True)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, partition: str | None = None) -> None:
+    writer = df.write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, unit: str = "day") -> int:
@@ -347,7 +351,7 @@ def replace_range_table(
         return
     edge = read_table(spark, path, updates.schema).filter(F.col(partition) == F.lit(start.date()))
     kept = edge.filter(F.col(time_col) < F.lit(start).cast("timestamp_ntz"))
-    with _kept(kept.unionByName(updates)) as merged:
+    with persisted(kept.unionByName(updates)) as merged:
         # one value per day of the replaced span
         fresh = {row[0] for row in merged.select(partition).distinct().toLocalIterator()}
         _publish(merged, path, partition)

@@ -105,27 +105,22 @@ def depth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = orders.join(lines, "o_orderkey", "left").withColumn(
         "pos", F.row_number().over(in_order) - 1
     )
-    base = F.lit(100).cast("decimal(18,2)") + (F.col("o_custkey") % 50).cast("decimal(18,2)")
-    level = F.col("pos") % LEVELS_PER_MESSAGE
-    step = (level + 1).cast("decimal(18,2)") / 100
-
-    def price(value: Column) -> Column:
-        return value.cast("decimal(18,2)").cast("string")
-
-    def side(price_text: Column, qty: Column) -> Column:
-        return F.array(price_text, qty.cast("bigint").cast("string"))
-
-    pair = F.struct(
-        "pos",
-        side(price(base - step), F.col("l_quantity")).alias("bid"),
-        side(price(base + step), F.col("l_partkey") % 50 + 1).alias("ask"),
-    )
+    # the columns of a level stay numbers until all levels of a message are together
+    line = F.struct("pos", "o_custkey", "l_partkey", "l_quantity")
     page = F.floor(F.col("pos") / LEVELS_PER_MESSAGE)
     messages = (
         numbered.groupBy("o_orderkey", "o_orderdate", "o_orderpriority", page.alias("page"))
-        .agg(F.collect_list(F.when(F.col("l_partkey").isNotNull(), pair)).alias("pairs"))
-        .withColumn("pairs", F.sort_array("pairs"))
+        .agg(F.sort_array(F.collect_list(F.when(F.col("l_partkey").isNotNull(), line))).alias("lines"))
     )
+
+    def level_price(at: Column, sign: int) -> Column:
+        base = F.lit(100).cast("decimal(18,2)") + (at["o_custkey"] % 50).cast("decimal(18,2)")
+        step = (at["pos"] % LEVELS_PER_MESSAGE + 1).cast("decimal(18,2)") / 100
+        return (base + step if sign > 0 else base - step).cast("decimal(18,2)").cast("string")
+
+    def side(sign: int, qty) -> Column:
+        return F.transform("lines", lambda at: F.array(level_price(at, sign), qty(at).cast("bigint").cast("string")))
+
     okey = F.col("o_orderkey")
     value = F.to_json(
         F.struct(
@@ -134,8 +129,8 @@ def depth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("stream"),
             F.struct(
                 (okey + F.col("page") * 1_000_000_000_000).alias("lastUpdateId"),
-                F.col("pairs.bid").alias("bids"),
-                F.col("pairs.ask").alias("asks"),
+                side(-1, lambda at: at["l_quantity"]).alias("bids"),
+                side(1, lambda at: at["l_partkey"] % 50 + 1).alias("asks"),
             ).alias("data"),
         )
     )
