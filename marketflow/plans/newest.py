@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketflow.functions.timecols import at, before, minute_of
 from marketflow.operators.book import live_metrics, message_books
 from marketflow.operators.depth import depth_messages, explode_levels, unique_messages
-from marketflow.sources.tables import affected, exists, read_table, recover, replace_partitions
+from marketflow.sources.tables import affected, exists, persisted, read_table, recover, replace_partitions
 
 BUCKETS = 16
 BUCKET = "symbol_bucket"
@@ -59,8 +58,28 @@ def _bucketed(messages: DataFrame) -> DataFrame:
     return messages.withColumn(BUCKET, F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).cast("int"))
 
 
+def _first_copies(messages: DataFrame) -> DataFrame:
+    """(symbol, last_update_id, ingest_time) of the first copy of each message, where that copy has levels.
+
+    As ``unique_messages`` picks it, missing sides before empty ones before others, but
+    told by one whole number per copy, so that no sides are sorted or shuffled.
+    """
+
+    def kind(side: str) -> Column:
+        return F.when(F.col(side).isNull(), 0).when(F.size(side) == 0, 1).otherwise(2)
+
+    # Nine kinds of copies a microsecond; a copy without a time comes before all others, and shows no book
+    micros, untimed = F.unix_micros(F.col("ingest_time").cast("timestamp")), F.lit(-9 * 10**18)
+    rank = F.coalesce(micros * 9 + kind("bids") * 3 + kind("asks"), untimed)
+    first = messages.groupBy("symbol", "last_update_id").agg(F.min(rank).alias("_rank"))
+    kinds = F.pmod(F.col("_rank"), F.lit(9))
+    with_levels = first.filter((F.col("_rank") > untimed) & ((kinds >= 6) | (kinds % 3 == 2)))
+    received = F.timestamp_micros(F.expr("(_rank - pmod(_rank, 9)) div 9")).cast("timestamp_ntz")
+    return with_levels.select("symbol", "last_update_id", received.alias("ingest_time"))
+
+
 def update_books(messages: DataFrame, path: str, keep_minutes: int | None = None) -> None:
-    """Bring the table up to date with further messages (``depth_messages``, each message once).
+    """Bring the table up to date with further messages (``depth_messages``; of copies the first counts).
 
     A message that is already there changes nothing. With ``keep_minutes`` what is
     older than that against the newest message of the bucket's symbols goes.
@@ -69,25 +88,29 @@ def update_books(messages: DataFrame, path: str, keep_minutes: int | None = None
     recover(spark, path)
     # a message without levels shows no book; the narrow columns decide which of the others stay
     ids = ["symbol", "last_update_id", "ingest_time"]
-    messages = messages.filter(F.coalesce(F.size("bids"), F.lit(0)) + F.coalesce(F.size("asks"), F.lit(0)) > 0)
-    fresh = _bucketed(messages.join(staircase(messages.select(*ids)), ids, "left_semi"))
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        names = [str(row[0]) for row in fresh.select(BUCKET).distinct().collect()]
-        if not names:
-            return
-        if exists(spark, path):
-            stored = affected(fresh, path, BUCKET)
-            # of a message received twice the stored copy counts
-            new = fresh.join(stored.select("symbol", "last_update_id").distinct(), ["symbol", "last_update_id"], "left_anti").select(*fresh.columns)
-            both = staircase(stored.unionByName(new))
-        else:
-            both = fresh
-        if keep_minutes is not None:
-            both = both.filter(F.col("ingest_time") >= before(fresh.agg(F.max("ingest_time")).scalar(), minutes=keep_minutes))
-        replace_partitions(both.select(*fresh.columns), path, BUCKET, names)
-    finally:
-        fresh.unpersist()
+    # kept first, so that Spark knows how few they are and the messages need not move to meet them
+    with persisted(staircase(_first_copies(messages))) as stays:
+        stays.count()
+        fresh = _bucketed(unique_messages(messages.join(stays, ids, "left_semi")).select(*messages.columns))
+        with persisted(fresh):
+            _replace_buckets(fresh, path, keep_minutes)
+
+
+def _replace_buckets(fresh: DataFrame, path: str, keep_minutes: int | None) -> None:
+    spark = fresh.sparkSession
+    names = [str(row[0]) for row in fresh.select(BUCKET).distinct().collect()]
+    if not names:
+        return
+    if exists(spark, path):
+        stored = affected(fresh, path, BUCKET)
+        # of a message received twice the stored copy counts
+        new = fresh.join(stored.select("symbol", "last_update_id").distinct(), ["symbol", "last_update_id"], "left_anti").select(*fresh.columns)
+        both = staircase(stored.unionByName(new))
+    else:
+        both = fresh
+    if keep_minutes is not None:
+        both = both.filter(F.col("ingest_time") >= before(fresh.agg(F.max("ingest_time")).scalar(), minutes=keep_minutes))
+    replace_partitions(both.select(*fresh.columns), path, BUCKET, names)
 
 
 def stream_books(raw: DataFrame, path: str, checkpoint: str, delay: str = "15 minutes", **trigger) -> StreamingQuery:
@@ -104,7 +127,7 @@ def stream_books(raw: DataFrame, path: str, checkpoint: str, delay: str = "15 mi
 
 def refresh_books(raw_depth: DataFrame, path: str) -> None:
     """Keep the table from a batch of raw depth."""
-    update_books(unique_messages(depth_messages(raw_depth)), path)
+    update_books(depth_messages(raw_depth), path)
 
 
 def newest_messages(spark: SparkSession, path: str, as_of: datetime | Column | None = None, minutes: int | None = None) -> DataFrame:
