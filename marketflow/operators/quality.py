@@ -20,11 +20,32 @@ def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.unpivot([], columns, "column_name", "failures")
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once; a key with a NULL part is left out."""
+def _open_groups(df: DataFrame, keys: list[str], position: str) -> DataFrame:
+    """The keys but ``position`` of groups whose positions are not all different and between 0 and 62."""
+    at = F.when(F.col(position).between(0, 62), F.col(position)).cast("int")
+    seen = F.bit_or(F.coalesce(F.call_function("shiftleft", F.lit(1).cast("bigint"), at), F.lit(0).cast("bigint")))
+    groups = df.groupBy(*(k for k in keys if k != position)).agg(F.count(F.lit(1)).alias("_n"), seen.alias("_seen"))
+    return groups.filter(F.col("_n") != F.bit_count("_seen"))
+
+
+def duplicate_keys(df: DataFrame, keys: list[str], position: str | None = None) -> DataFrame:
+    """Keys that occur more than once; a key with a NULL part is left out.
+
+    ``position``: a whole number among the keys that counts up from 0 within the
+    others, as a level does within its message. Then one row per group of the others
+    is shuffled: a group whose positions below 63 are all different, and which has none
+    beyond, holds no key twice; rows of other groups are counted key by key.
+    """
     present = df
     for key in keys:
         present = present.filter(F.col(key).isNotNull())
+    if position is not None:
+        # whether there is such a group is known before any row moves
+        some = _open_groups(present, keys, position).agg(F.count(F.lit(1))).scalar() > 0
+        present = present.filter(some)
+        others = [k for k in keys if k != position]
+        open_groups = _open_groups(present, keys, position).select(*(F.col(k).alias(f"_open_{k}") for k in others))
+        present = present.join(open_groups, [F.col(k) == F.col(f"_open_{k}") for k in others], "left_semi")
     return present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
