@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 #: How byte-level files cut a text into words (fixed value of the format).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The same words in a text of ASCII characters alone, which the plain engine cuts in half the time.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: Words up to this length are remembered, and so many of them twice over.
 SHORT, REMEMBERED = 48, 1 << 18
 #: Rows, and ids or characters, after which a task hands a batch on.
@@ -137,21 +140,23 @@ class Automaton:
         below = n + 1  # where the next arc must end before
         while at < n:
             ahead, j, arcs = [], at, root
-            while j < n:
-                node = arcs.get(word[j])
-                if node is None:
+            for b in word[at:]:
+                if b not in arcs:
                     break
+                token, arcs = arcs[b]
                 j += 1
-                token, arcs = node
                 if token >= 0 and j < below:
-                    ahead.append((token, j))
+                    ahead.append(token)
+                if not arcs:
+                    break
             lows, highs = lost.get(state) or self.lacks(state)
             while ahead:
-                token, j = ahead.pop()
-                if j not in dead:
-                    place = places[token]
-                    i = bisect_right(lows, place) - 1
-                    if i < 0 or place >= highs[i]:
+                token = ahead.pop()
+                place = places[token]
+                i = bisect_right(lows, place) - 1
+                if i < 0 or place >= highs[i]:
+                    j = at + len(label[token])
+                    if j not in dead:
                         out.append(token)
                         at, state, below = j, target[token], n + 1
                         break
@@ -209,7 +214,8 @@ class Codec:
                 ids.append(array("i", [self.special[part]]).tobytes())
             else:
                 known, word = self.known.get, self.word
-                ids += [known(w) or word(w) for w in WORDS.findall(part)]
+                words = (ASCII_WORDS if part.isascii() else WORDS).findall(part)
+                ids += [known(w) or word(w) for w in words]
         return b"".join(ids)
 
     def encode(self, text: str) -> array:
@@ -288,6 +294,8 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", to: str = "text") ->
 
     def converter():
         decoder = codec(tokenizer).decode
-        return lambda x: decoder(x.values.to_pylist() if x.is_valid else []), len, lambda made: pa.array(made, pa.string())
+        # ids without nulls pass as numbers, not one object of Arrow's each
+        plain = lambda ids: ids.to_pylist() if ids.null_count else ids.to_numpy().tolist()
+        return lambda x: decoder(plain(x.values) if x.is_valid else []), len, lambda made: pa.array(made, pa.string())
 
     return _mapped(df, ids, StructField(to, StringType()), converter)

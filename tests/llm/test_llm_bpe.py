@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketflow.llm.bpe import Automaton, codec, decode, encode
+from marketflow.llm.bpe import ASCII_WORDS, WORDS, Automaton, codec, decode, encode
 
 NAME = "byte_bpe_50k.json"
 TOK = Tokenizer.from_file(public_tokenizers.path(NAME))
@@ -45,6 +45,17 @@ def test_any_ids_decode_as_the_library_does(ids):
     assert codec(NAME).decode(ids) == TOK.decode(ids, skip_special_tokens=False)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.characters(max_codepoint=127), max_size=40))
+def test_words_of_ascii_texts_are_the_same(text):
+    assert ASCII_WORDS.findall(text) == WORDS.findall(text)
+
+
+def test_words_of_all_ascii_neighbours_are_the_same():
+    text = "".join(chr(a) + chr(b) + chr(c) for a in range(128) for b in range(128) for c in (32, 39, 97))
+    assert ASCII_WORDS.findall(text) == WORDS.findall(text)
+
+
 def plain_automaton(bytes_of, pairs):
     """Arcs as sets: each merge copies a state whole and edits the copy."""
     arcs = [{t: 0 for t in bytes_of}]
