@@ -19,6 +19,10 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # a task that writes to few partitions, as after a rebalance, need not sort its rows by them
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # a raw record is written and read as the bytes it is: it is written once, and taking it apart into columns
+    # and putting it together again costs more than that saves in the few reads it has
+    "spark.sql.variant.inferShreddingSchema": "false",
+    "spark.sql.variant.pushVariantIntoScan": "false",
 }
 
 
