@@ -124,6 +124,7 @@ def write_raw(
 
     return (
         route(messages)
+        .select("record", "ingest_time", "route")  # a batch is kept while its sinks read it, without the text
         .observe("ingest", *_outcomes())
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)

@@ -1,9 +1,12 @@
 """Steps that move keys or whole messages instead of levels give what the level by level way gives."""
 
+import os
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from helpers import depth_json, formatted, messages, raw
 from marketflow.operators import quality
@@ -11,7 +14,9 @@ from marketflow.operators.depth import depth_messages, unique_messages
 from marketflow.plans import facts, newest
 from marketflow.sources import tables
 from marketflow.sources.messages import parse
+from marketflow.streaming import ingest
 from test_streams import same
+from verification import inputs
 
 START = datetime(2026, 6, 1)
 
@@ -64,3 +69,43 @@ def test_first_copies_are_told_without_sides(spark):
 def test_newest_books_of_a_batch_shuffle_no_sides(spark):
     told = formatted(newest.staircase(newest._first_copies(depth_messages(parse(messages(spark, [(book(1, 2), START)]))))))
     assert "Exchange" in told and not any("bids" in line for block in told.split("\n\n") if ") Exchange" in block for line in block.splitlines())
+
+
+def test_arriving_messages_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        made.add(1)
+        return str(i)
+
+    received = (F.lit(START) + F.make_dt_interval(mins=F.col("id").cast("int"))).cast("timestamp_ntz")
+    told = spark.range(30).select(text("id").alias("value"), F.array(received).alias("times")).select("value", F.explode("times").alias("ingest_time"))
+    path = inputs.arrival_files(told, "arriving", [at(10), at(20)])
+    assert made.value == 30
+    assert sorted(int(r.value) for r in spark.read.parquet(path).collect()) == list(range(30))
+
+
+def test_raw_records_are_written_as_they_are(spark, out):
+    tables.append_batch(raw(spark, [(book(k, 3), at(k)) for k in range(20)]), out, 0)
+    file = next(os.path.join(folder, name) for folder, _, names in os.walk(out) for name in names if name.endswith(".parquet"))
+    assert "typed_value" not in str(pq.read_schema(file))
+
+
+def test_a_stream_keeps_no_text_of_a_batch(spark, tmp_path):
+    source = str(tmp_path / "in")
+    messages(spark, [(book(1, 2), at(0)), ("{bad", at(1)), ('{"stream": "a@kline"}', at(2))]).write.parquet(source)
+    kept, keep = [], DataFrame.persist
+
+    def noting(df, *args):
+        kept.append(df.columns)
+        return keep(df, *args)
+
+    DataFrame.persist = noting
+    try:
+        paths = [str(tmp_path / name) for name in ("trades", "depth", "checkpoint")]
+        ingest.write_raw(ingest.stream_messages(spark, source), *paths, counters_path=str(tmp_path / "counters"), availableNow=True).awaitTermination()
+    finally:
+        DataFrame.persist = keep
+    assert kept and all("value" not in columns for columns in kept)
+    assert tuple(ingest.counters(spark, str(tmp_path / "counters")).first()) == (3, 1, 1, 1, 1)

@@ -272,8 +272,14 @@ def dim_symbols(trades: DataFrame) -> DataFrame:
 
 
 def arrival_files(messages: DataFrame, name: str, cuts: list[datetime]) -> str:
-    """Messages as files in the order of arrival, one span between two cuts after the other."""
-    path = work_dir(messages.sparkSession, name)
+    """Messages as files in the order of arrival, one span between two cuts after the other.
+
+    They are made once, and the spans are cut out of what was written.
+    """
+    spark = messages.sparkSession
+    path, made = work_dir(spark, name), work_dir(spark, f"{name}_made")
+    messages.write.parquet(made)
+    messages = spark.read.schema(messages.schema).parquet(made)
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:]):
         part = messages
