@@ -4,12 +4,14 @@ import json
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketflow.llm.bpe import ASCII_WORDS, WORDS, Automaton, codec, decode, encode
+from marketflow.llm import bpe
+from marketflow.llm.bpe import ASCII_WORDS, BMP_WORDS, WORDS, Automaton, Codec, codec, decode, encode
 
 NAME = "byte_bpe_50k.json"
 TOK = Tokenizer.from_file(public_tokenizers.path(NAME))
@@ -56,6 +58,76 @@ def test_words_of_all_ascii_neighbours_are_the_same():
     assert ASCII_WORDS.findall(text) == WORDS.findall(text)
 
 
+def test_words_of_all_16_bit_characters_are_the_same():
+    for low in range(0, 0x10000, 256):
+        if not 0xD800 <= low < 0xE000:
+            text = "".join(f"a{chr(c)}b 1{chr(c)} {chr(c)}{chr(c)}'s{chr(c)} \n{chr(c)}" for c in range(low, low + 256))
+            assert BMP_WORDS.findall(text) == WORDS.findall(text)
+
+
+def made_up(n, seed):
+    """Different words of pieces that no vocabulary has as a whole; most lead the walk into places without a way on."""
+    rng = random.Random(seed)
+    pieces = ["th", "the", "tion", "er", "he", "ou", "éa", "zu", "sch", "å", "中", "q", "ing", "ng", "777", "\u2003"]
+    return list(dict.fromkeys(" " + "".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(n)))
+
+
+def test_new_words_are_walked_together(monkeypatch):
+    alone, path = [], Automaton.path
+    monkeypatch.setattr(Automaton, "path", lambda self, word: alone.append(word) or path(self, word))
+    fresh, text = Codec(public_tokenizers.path(NAME)), "".join(made_up(6000, 1))
+    assert list(fresh.encode(text)) == ids_of(text)
+    assert len(alone) < 100
+
+
+def test_decoding_builds_no_states(monkeypatch):
+    monkeypatch.setattr(bpe, "Automaton", None)
+    assert Codec(public_tokenizers.path(NAME)).decode([39, 72]) == TOK.decode([39, 72])
+
+
+def test_paths_of_many_words_are_those_of_each():
+    rng = random.Random(2)
+    words = [w.encode() for w in made_up(3000, 3)] + [rng.randbytes(rng.randint(1, 12)) for _ in range(2000)] + [b"", b"a" * 500, b"\xff" * 90]
+    automaton = codec(NAME).automaton
+    rng.shuffle(words)
+    assert automaton.paths(words).to_pylist() == [automaton.path(w) for w in words]
+    assert automaton.paths([]).to_pylist() == [] and automaton.paths([b"hi"]).to_pylist() == [automaton.path(b"hi")]
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    fresh = Codec(public_tokenizers.path(NAME))
+    texts = ["".join(made_up(30, n % 5)) + "<|endoftext|>" for n in range(20)]
+    assert [list(fresh.encode(t)) for t in texts] == [ids_of(t) for t in texts]
+    assert len(fresh.known) < 100
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 0)
+    assert [fresh.ids(pa.array(texts[n : n + 7])).to_pylist() for n in (0, 7, 14)] == [[ids_of(t) for t in texts[n : n + 7]] for n in (0, 7, 14)]
+
+
+def test_new_words_of_one_long_text_are_walked_in_blocks(monkeypatch):
+    sizes, paths = [], Automaton.paths
+    monkeypatch.setattr(Automaton, "paths", lambda self, words: sizes.append(sum(map(len, words))) or paths(self, words))
+    monkeypatch.setattr(bpe, "SIZE", 1000)
+    fresh, text = Codec(public_tokenizers.path(NAME)), "".join(made_up(2000, 6)) + " " + "x" * 5000 + "".join(made_up(2000, 7))
+    assert list(fresh.encode(text)) == ids_of(text)
+    assert len(sizes) > 20 and sorted(sizes)[-2] < 1100
+
+
+def test_texts_that_are_no_utf8_leave_their_neighbours_alone():
+    rows = [[39], [], None, [50_000, None, 39], ids_of("é中")[:1], ids_of("é中"), [10**6, -1], ids_of("x😀y")[:2], ids_of("x😀y")]
+    got = codec(NAME).texts(pa.array(rows, pa.list_(pa.int32()))).to_pylist()
+    assert got == [TOK.decode([i for i in ids or [] if i is not None and 0 <= i < 50_257], skip_special_tokens=False) for ids in rows]
+
+
+def test_rows_of_all_sizes_stay_in_their_rows(spark):
+    rng = random.Random(4)
+    texts = ["", None, *("".join(made_up(rng.choice([0, 1, 3, 200]), n)) for n in range(700)), "".join(made_up(90_000, 5))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    made = encode(df, NAME)
+    assert {r.doc_id: r.ids for r in made.collect()} == {i: ids_of(t or "") for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in decode(made, NAME).collect()} == {i: t or "" for i, t in enumerate(texts)}
+
+
 def plain_automaton(bytes_of, pairs):
     """Arcs as sets: each merge copies a state whole and edits the copy."""
     arcs = [{t: 0 for t in bytes_of}]
@@ -94,6 +166,23 @@ def test_states_equal_a_plain_construction(picks, letters):
             assert (automaton.step(automaton.target[name(x)], name(y)) >= 0) == (y in arcs[target[x]])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**6), st.integers(0, 10**6)), max_size=14), st.lists(st.binary(max_size=9), min_size=20, max_size=60))
+def test_small_automata_walk_many_words_as_each(picks, words):
+    known, pairs = list(range(256)), []
+    label = {i: bytes([i]) for i in known}
+    for a, b in picks:
+        u, v = known[a % len(known)] % 300, known[b % len(known)] % 300
+        u, v = (u if u in label else 97), (v if v in label else 98)
+        if label[u] + label[v] not in label.values() and Automaton(list(range(256)), pairs).step(Automaton(list(range(256)), pairs).target[u], v) >= 0:
+            pairs.append((u, v, len(known)))
+            label[len(known)] = label[u] + label[v]
+            known.append(len(known))
+    words = words + [label[u] + label[v] for u in list(label)[-6:] for v in list(label)[-6:]]
+    automaton = Automaton(list(range(256)), pairs)
+    assert automaton.paths(words).to_pylist() == [automaton.path(w) for w in words]
+
+
 def test_merges_out_of_order_are_refused():
     with pytest.raises(ValueError):
         Automaton(list(range(256)), [(300, 1, 301)])
