@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketflow.functions.timecols import at, before, minute_of
 from marketflow.operators.book import live_metrics, message_books
 from marketflow.operators.depth import depth_messages, explode_levels, unique_messages
+from marketflow.session import adaptive
 from marketflow.sources.tables import affected, exists, persisted, read_table, recover, replace_partitions
 
 BUCKETS = 16
@@ -90,7 +91,8 @@ def update_books(messages: DataFrame, path: str, keep_minutes: int | None = None
     ids = ["symbol", "last_update_id", "ingest_time"]
     # kept first, so that Spark knows how few they are and the messages need not move to meet them
     with persisted(staircase(_first_copies(messages))) as stays:
-        stays.count()
+        if not stays.count():
+            return
         fresh = _bucketed(unique_messages(messages.join(stays, ids, "left_semi")).select(*messages.columns))
         with persisted(fresh):
             _replace_buckets(fresh, path, keep_minutes)
@@ -117,8 +119,17 @@ def stream_books(raw: DataFrame, path: str, checkpoint: str, delay: str = "15 mi
     """Keep the table from a stream of raw depth; repeated messages are held back by keyed state."""
     timed = depth_messages(raw).withColumn("_received", F.col("ingest_time").cast("timestamp"))
     unique = timed.withWatermark("_received", delay).dropDuplicatesWithinWatermark(["symbol", "last_update_id"]).drop("_received")
+    # as one column, since Spark does not find what is kept of rows whose partitions it knows by their columns
+    whole = unique.select(F.struct(*unique.columns).alias("message"))
+
+    def store(batch: DataFrame, _batch_id: int) -> None:
+        # kept and counted, so that the keyed state is gone through whole and once, not by each job
+        with adaptive(batch.sparkSession), persisted(batch.select("message.*")) as messages:
+            if messages.count():
+                update_books(messages, path)
+
     return (
-        unique.writeStream.foreachBatch(lambda batch, _id: update_books(batch, path))
+        whole.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -33,6 +34,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Adaptive plans for the jobs of one micro-batch; Spark turns them off in the session of a stream with keyed state."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        # the stream itself is planned without, as its state is tied to its partitions
+        spark.conf.set(key, before)
+
+
 @lru_cache(maxsize=1)
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="marketflow-")

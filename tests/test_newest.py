@@ -81,6 +81,22 @@ def test_stream_keeps_the_table(spark, tmp_path):
     same(newest.orderbook_live(spark, path, as_of), book.orderbook_live(levels, as_of))
 
 
+def test_a_micro_batch_goes_through_its_state_once(spark, tmp_path):
+    rows = feed(9, 120, True)
+    for part in (rows[:60], rows[60:], rows[100:]):  # the last brings copies only
+        messages(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    path = str(tmp_path / "books")
+    with stream_settings(spark):
+        raw_depth = msg.route(ingest.stream_messages(spark, str(tmp_path / "in"), max_files=1)).select("record", "ingest_time")
+        query = newest.stream_books(raw_depth, path, str(tmp_path / "cp"), availableNow=True)
+        query.awaitTermination()
+    states = [state for told in query.recentProgress for state in told.stateOperators]
+    # the figures of a state add up over all its runs
+    assert len(states) > 2 and sum(state.numRowsUpdated for state in states) == len({text for text, _ in rows})
+    as_of = F.lit(rows[-1][1]).cast("timestamp_ntz")
+    same(newest.orderbook_live(spark, path, as_of), book.orderbook_live(unique_depth_levels(raw(spark, rows)), as_of))
+
+
 def test_depth_within_from_messages(spark):
     rows = feed(3, 200, True)
     want = book.depth_within(unique_depth_levels(raw(spark, rows)), 2000)
